@@ -38,3 +38,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         found = materialize(hook.join(upper, F.col("label") == F.col("n"), "left").select("node", F.coalesce("l", "label").alias("label")), "labels")
     least = materialize(found.groupBy("label").agg(F.min("node").alias("component")).withColumnRenamed("label", "l"), "least")
     return materialize(found.join(least, F.col("label") == F.col("l")).select("node", "component"), "components")
+
+
+def with_components(rows: DataFrame, components: DataFrame, column: str, out: str) -> DataFrame:
+    c = components.select(F.col("node").alias("c__node"), F.col("component").alias("c__component"))
+    return rows.join(c, F.col(column) == F.col("c__node"), "left").withColumn(out, F.coalesce("c__component", column)).drop("c__node", "c__component")

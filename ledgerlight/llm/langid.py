@@ -218,6 +218,17 @@ def predict(docs: DataFrame, model: MaskFilter) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
 
 
+#: Least corrected share of known n-grams; prose of a learned language has several times as much.
+LEAST_SCORE = 0.2
+
+
+def keep_languages(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of docs, as they are, whose text is in a learned language with at least that score."""
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    judged = predict(inner, fit(docs))
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def op7_langid(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = predict(docs.select(F.col("doc_id").cast("long"), "text"), fit(docs))

@@ -12,7 +12,8 @@
    block emits at most a link per member. So no link is lost by the choice in 3.
 6. Links become components by distributed contraction.
 
-Band layout: BANDS * ROWS samples; a pair at the threshold 0.85 shares no key with probability below 1e-6.
+Band layout: BANDS * ROWS samples; a pair of similarity 0.8 shares no key with probability below 1e-6, one of 0.85 below
+1e-9.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, in_chunks, materialize, table
-from .components import connected_components
+from .blocks import blocks, by_group
+from .common import in_chunks, materialize, table
+from .components import connected_components, with_components
 
-BANDS, ROWS = 26, 5
+BANDS, ROWS = 36, 5
 SKETCH_BITS = 512
-BLOCK = 1024
 _rng = np.random.default_rng(20240229)
 _FLIP = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _MULT = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -153,45 +154,11 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("both") >= percent * (F.size("ma") + F.size("mb") - F.col("both"))).select("a", "b")
 
 
-def _with_components(rows: DataFrame, components: DataFrame, column: str, out: str) -> DataFrame:
-    c = components.select(F.col("node").alias("c__node"), F.col("component").alias("c__component"))
-    return rows.join(c, F.col(column) == F.col("c__node"), "left").withColumn(out, F.coalesce("c__component", column)).drop("c__node", "c__component")
-
-
-def _blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Each member once for every pair of blocks of its bucket that its block is in; blocks hold about BLOCK members."""
-    cut = members.join(sizes, "key").withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int"))
-    cut = cut.withColumn("part", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts").cast("long")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return cut.select("*", other.alias("other")).withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other")}).drop("other", "parts", "size")
-
-
-def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows of each (key, lo, hi), from batches that are sorted by it."""
-    held: list[pa.RecordBatch] = []
-    now = None
-    for batch in batches:
-        at = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("key", "lo", "hi")]
-        n = batch.num_rows
-        cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in at], axis=0)) + 1 if n > 1 else np.empty(0, np.int64)
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), n]):
-            if a == b:
-                continue
-            name = tuple(x[a] for x in at)
-            if now is not None and name != now:
-                yield pa.Table.from_batches(held)
-                held = []
-            now = name
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _near_members(limit: int, percent: int):
     """Of each block pair, the members that have a near one of another component, by size and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _by_group(batches):
+        for group in by_group(batches):
             n, component, part = (group.column(c).to_numpy() for c in ("n", "component", "part"))
             sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
             near = np.zeros(len(n), np.bool_)
@@ -218,7 +185,7 @@ def _linked_members(limit: int, percent: int):
     """Confirmed links between components in each block pair; at most one fewer than its components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _by_group(batches):
+        for group in by_group(batches):
             ids, component, part = (group.column(c).to_pylist() for c in ("id", "component", "part"))
             n = group.column("n").to_numpy()
             sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
@@ -270,7 +237,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     joined = signed.select("doc_id", "n", "key").join(named, F.col("key") == F.col("k"), "left")
     # doc_ids that name no class of their own reach the class through its id
     joined = joined.withColumn("node", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")))
-    out = _with_components(joined, components, "node", "component_id")
+    out = with_components(joined, components, "node", "component_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
@@ -295,19 +262,19 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     best = near.groupBy("a").agg(F.min(F.struct("flipped", "b"))["b"].alias("b"))
     best = best.union(near.groupBy("b").agg(F.min(F.struct("flipped", "a"))["a"].alias("a")).select("a", "b")).distinct()
     first = materialize(_confirm(best, sets, percent), "links")
-    apart = _with_components(_with_components(near.select("a", "b"), c := connected_components(first), "a", "ca"), c, "b", "cb").where("ca <> cb")
+    apart = with_components(with_components(near.select("a", "b"), c := connected_components(first), "a", "ca"), c, "b", "cb").where("ca <> cb")
     links = materialize(first.union(_confirm(apart, sets, percent)), "links")
     # buckets that still hold more than one component
-    placed = materialize(_with_components(members.select("key", "id"), connected_components(links), "id", "component"), "placed")
+    placed = materialize(with_components(members.select("key", "id"), connected_components(links), "id", "component"), "placed")
     open_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
     rest = placed.join(known, "id")
     parts = ("key", "lo", "hi")
-    blocks = _blocks(rest, materialize(open_, "open")).repartition(*parts).sortWithinPartitions(*parts)
-    near = materialize(blocks.mapInArrow(_near_members(limit, percent), "key long, id long, component long, n long, sketch binary").distinct(), "rest")
+    paired = blocks(rest, materialize(open_, "open")).repartition(*parts).sortWithinPartitions(*parts)
+    near = materialize(paired.mapInArrow(_near_members(limit, percent), "key long, id long, component long, n long, sketch binary").distinct(), "rest")
     more = materialize(_sets(docs.join(near.select("id").distinct(), "id", "left_semi"), width), "sets")
     sizes = near.groupBy("key").agg(F.count("*").alias("size"))
-    blocks = _blocks(near.join(more, "id"), sizes).repartition(*parts).sortWithinPartitions(*parts)
-    found = blocks.mapInArrow(_linked_members(limit, percent), "a long, b long")
+    paired = blocks(near.join(more, "id"), sizes).repartition(*parts).sortWithinPartitions(*parts)
+    found = paired.mapInArrow(_linked_members(limit, percent), "a long, b long")
     return links.union(found)
 
 
@@ -328,6 +295,19 @@ def _flipped(limit: int):
     return run
 
 
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row of docs for each component, that of the smallest doc_id; rows with null doc_id all stay. Columns are docs'."""
+    judged = near_duplicates(docs, width, percent).where("doc_id IS NOT NULL")
+    verdicts = judged.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("copies"))
+    marked = materialize(verdicts.where("NOT kept OR copies > 1").withColumnRenamed("doc_id", "n__id"), "verdicts")
+    same = F.col("doc_id").cast("long") == F.col("n__id")
+    rest = docs.join(marked.select("n__id"), same, "left_anti")
+    repeated = docs.join(marked.where("kept").select("n__id"), same, "left_semi")
+    if repeated.isEmpty():
+        return rest
+    return rest.unionByName(repeated.dropDuplicates(["doc_id"]))
+
+
 def op4_neardup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 

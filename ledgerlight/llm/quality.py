@@ -89,6 +89,8 @@ def measured(docs: DataFrame) -> DataFrame:
             "dup_line_share": F.col("q_dup_lines") / F.greatest(F.col("q__all"), F.lit(1)),
             "repeat_share": F.col("q_repeat_words") / n,
             "word_length": F.col("q_chars") / n,
+            # filters on the counts stay above this projection: pushed below it, they would repeat every array pass inside
+            "q__row": F.monotonically_increasing_id(),
         }
     )
     return out.drop("q__windows", "q__all", "q__again", "q__narrow", "q__k1", "q__k2", "q__found")
@@ -114,7 +116,7 @@ def judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
 
     limits has a file's statistics: it is broadcast below Spark's threshold only, and joined by shuffle beyond it.
     """
-    base = (F.col("q_words") < LEAST_WORDS) | (100 * F.col("q_repeat_words") > MOST_REPEATED * F.col("q_words"))
+    base = (F.col("q__row") < 0) | (F.col("q_words") < LEAST_WORDS) | (100 * F.col("q_repeat_words") > MOST_REPEATED * F.col("q_words"))
     joined = rows.join(limits, F.col("q_lang").eqNullSafe(F.col("t_lang")) & F.col("q_source").eqNullSafe(F.col("t_source")), "left")
     passed = F.lit(True)
     for m in RULES:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import binary, extract, langid, licences, mixing, packing, quality, urlrules
+from . import binary, extract, langid, licences, mixing, neardup, packing, quality, urlrules, veclinks
 
-MODULES = [packing, urlrules, mixing, licences, langid, extract, quality, binary]
+MODULES = [packing, urlrules, mixing, neardup, licences, veclinks, langid, extract, quality, binary]
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
