@@ -46,6 +46,21 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: A table is broadcast if its files are at most this large; unpacked it is a few times that.
+BROADCAST_BYTES = 16 << 20
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, marked for broadcast if it was materialized and its files are measured to be small; else as it is, and Spark
+    joins by shuffle, splitting skewed keys."""
+    path = getattr(df, "_ledgerlight_path", None)
+    if path is None:
+        return df
+    where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    size = where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def write_bytes(spark: SparkSession, name: str, data: bytes) -> str:
     """Write a small driver-side artefact to the shared folder through Spark's own file system layer."""
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, materialize, small
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         first = F.least(F.struct(F.xxhash64("a").alias("x"), F.col("a").alias("n")), F.min(F.struct(F.xxhash64("b").alias("x"), F.col("b").alias("n"))))
         hook = materialize(both.groupBy("a").agg(first["n"].alias("label")).withColumnRenamed("a", "node"), "hooks")
         hooks.append(hook)
-        one, two = (hook.select(F.col("node").alias(f"n{i}"), F.col("label").alias(f"l{i}")) for i in (1, 2))
+        one, two = (small(hook).select(F.col("node").alias(f"n{i}"), F.col("label").alias(f"l{i}")) for i in (1, 2))
         joined = edges.join(one, F.col("a") == F.col("n1")).join(two, F.col("b") == F.col("n2"))
         smaller = materialize(joined.select(F.least("l1", "l2").alias("a"), F.greatest("l1", "l2").alias("b")).where("a <> b").distinct(), "edges")
         discard(edges)
@@ -34,12 +34,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         return links.select(F.col("a").cast("long").alias("node"), F.col("a").cast("long").alias("component")).where("false")
     found = hooks[-1]
     for hook in reversed(hooks[:-1]):
-        upper = found.select(F.col("node").alias("n"), F.col("label").alias("l"))
+        upper = small(found).select(F.col("node").alias("n"), F.col("label").alias("l"))
         found = materialize(hook.join(upper, F.col("label") == F.col("n"), "left").select("node", F.coalesce("l", "label").alias("label")), "labels")
     least = materialize(found.groupBy("label").agg(F.min("node").alias("component")).withColumnRenamed("label", "l"), "least")
-    return materialize(found.join(least, F.col("label") == F.col("l")).select("node", "component"), "components")
+    return materialize(found.join(small(least), F.col("label") == F.col("l")).select("node", "component"), "components")
 
 
 def with_components(rows: DataFrame, components: DataFrame, column: str, out: str) -> DataFrame:
-    c = components.select(F.col("node").alias("c__node"), F.col("component").alias("c__component"))
+    c = small(components).select(F.col("node").alias("c__node"), F.col("component").alias("c__component"))
     return rows.join(c, F.col(column) == F.col("c__node"), "left").withColumn(out, F.coalesce("c__component", column)).drop("c__node", "c__component")

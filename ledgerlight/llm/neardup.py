@@ -6,10 +6,13 @@
    is the text that they come from, and one drawn by hash. Members are paired with these only, so a bucket of n gives
    n pairs, not n * n.
 4. An odd sketch, the parity bitmap of the samples, is XORed for each pair; the population count estimates the
-   similarity. Pairs too far below the threshold for chance are dropped, the rest are confirmed on full shingle sets:
-   first each class's nearest, then what is not connected by then.
-5. Buckets whose members are still in different components are compared in blocks, by sketches, then on full sets; a
-   block emits at most a link per member. So no link is lost by the choice in 3.
+   similarity. Pairs too far below the threshold for chance are dropped; the others make families by distributed
+   contraction. Buckets that hold members of several families are compared in blocks by sketch, which joins families, so
+   that no link is lost by the choice in 3.
+5. A family's members bring their full shingle sets together once. In families of more than BLOCK members the pairs of 3
+   are confirmed first; then each member outside the main component, in smaller families every member, is held against
+   the family in blocks: near ones by sketch, nearest first, are confirmed until they are connected. A block emits at most
+   a link per member.
 6. Links become components by distributed contraction.
 
 Band layout: BANDS * ROWS samples; a pair of similarity 0.8 shares no key with probability below 1e-6, one of 0.85 below
@@ -27,8 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks, by_group
-from .common import in_chunks, materialize, table
+from .blocks import BLOCK, against_all, by_group
+from .common import in_chunks, materialize, small, table
 from .components import connected_components, with_components
 
 BANDS, ROWS = 36, 5
@@ -154,70 +157,74 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("both") >= percent * (F.size("ma") + F.size("mb") - F.col("both"))).select("a", "b")
 
 
-def _near_members(limit: int, percent: int):
-    """Of each block pair, the members that have a near one of another component, by size and sketch."""
+class _Forest:
+    """Components of the members of a group; says which links join two of them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in by_group(batches):
-            n, component, part = (group.column(c).to_numpy() for c in ("n", "component", "part"))
-            sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
-            near = np.zeros(len(n), np.bool_)
-            lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-            for i in range(len(n)) if lo == hi else np.flatnonzero(part == lo).tolist():
-                some = (component != component[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
-                if lo != hi:
-                    some &= part == hi
-                at = np.flatnonzero(some)
-                if len(at):
-                    hit = at[np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1) <= limit]
-                    if len(hit):
-                        near[i] = True
-                        near[hit] = True
-            at = pa.array(np.flatnonzero(near))
-            if len(at):
-                got = group.take(at).combine_chunks()
-                yield from got.select(["key", "id", "component", "n", "sketch"]).to_batches()
+    def __init__(self) -> None:
+        self.root: dict[int, int] = {}
 
-    return run
+    def find(self, x: int) -> int:
+        while self.root.setdefault(x, x) != x:
+            self.root[x] = self.root[self.root[x]]
+            x = self.root[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        a, b = self.find(x), self.find(y)
+        self.root[a] = b
+        return a != b
 
 
-def _linked_members(limit: int, percent: int):
-    """Confirmed links between components in each block pair; at most one fewer than its components."""
+def _linked(limit: int, percent: int, exact: bool):
+    """Links between components in each group, at most one fewer than its components: pairs near by size and sketch, and
+    if exact, confirmed on their full sets, the nearest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group(batches):
-            ids, component, part = (group.column(c).to_pylist() for c in ("id", "component", "part"))
-            n = group.column("n").to_numpy()
+            ids, component = (group.column(c).to_pylist() for c in ("id", "component"))
+            n, side = (group.column(c).to_numpy() for c in ("n", "side"))
             sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
-            sets = [np.array(x, np.int64) for x in group.column("members").to_pylist()]
-            root: dict[int, int] = {}
+            sets: dict[int, np.ndarray] = {}
+            members = group.column("members") if exact else None
 
-            def find(x: int) -> int:
-                while root.setdefault(x, x) != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                return x
+            def full(i: int) -> np.ndarray:
+                if i not in sets:
+                    sets[i] = members[i].values.to_numpy()
+                return sets[i]
 
+            forest = _Forest()
             links: list[tuple[int, int]] = []
-            lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-            for i in range(len(n)):
-                if lo != hi and part[i] != lo:
-                    continue
+            for i in np.flatnonzero(side != 1).tolist():
                 some = 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
-                some &= np.bitwise_count(sketch ^ sketch[i]).sum(axis=1) <= limit
-                for j in np.flatnonzero(some).tolist():
-                    if (j <= i if lo == hi else part[j] != hi) or find(component[i]) == find(component[j]):
+                some &= side != 0
+                if side[i] == 2:
+                    some[: i + 1] = False
+                at = np.flatnonzero(some)
+                flipped = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1)
+                for k in np.argsort(flipped, kind="stable").tolist():
+                    if flipped[k] > limit:
+                        break
+                    j = int(at[k])
+                    if ids[i] == ids[j] or forest.find(component[i]) == forest.find(component[j]):
                         continue
-                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                        root[find(component[i])] = find(component[j])
-                        links.append((ids[i], ids[j]))
+                    if exact:
+                        one, two = full(i), full(j)
+                        both = len(np.intersect1d(one, two, assume_unique=True))
+                        if 100 * both < percent * (len(one) + len(two) - both):
+                            continue
+                    forest.join(component[i], component[j])
+                    links.append((ids[i], ids[j]))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
     return run
 
 
+def _grouped(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    parts = ("key", "lo", "hi")
+    return against_all(members, sizes).repartition(*parts).sortWithinPartitions(*parts)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs.
 
@@ -245,37 +252,43 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     limit = most_flipped(percent / 100)
     buckets = classes.select("id", F.explode("bands").alias("key"))
     shared = materialize(buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size"), "buckets")
-    members = materialize(buckets.join(shared, "key"), "members")
-    degree = members.groupBy("id").agg(F.sum("size").alias("degree"))
-    weighed = materialize(members.select("key", "id").join(degree, "id"), "weighed")
+    members = materialize(buckets.join(small(shared), "key"), "members")
+    degree = materialize(members.groupBy("id").agg(F.sum("size").alias("degree")), "degree")
+    weighed = members.select("key", "id").join(small(degree), "id")
     stand = weighed.groupBy("key").agg(F.max(F.struct("degree", F.xxhash64("id").alias("x"), "id"))["id"].alias("r1"), F.min(F.struct(F.xxhash64("id", F.lit(3)).alias("x"), "id"))["id"].alias("r2"))
     stand = materialize(stand, "stand")
-    pairs = members.select("key", "id").join(stand, "key").select("id", F.explode(F.array("r1", "r2")).alias("r")).where("id <> r")
-    pairs = materialize(pairs.select(F.least("id", "r").alias("a"), F.greatest("id", "r").alias("b")).distinct(), "pairs")
-    known = materialize(classes.select("id", "n", "sketch").join(weighed.select("id").distinct(), "id", "left_semi"), "known")
-    one, two = (known.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    pairs = members.select("key", "id").join(small(stand), "key").select("id", F.explode(F.array("r1", "r2")).alias("r")).where("id <> r")
+    pairs = pairs.select(F.least("id", "r").alias("a"), F.greatest("id", "r").alias("b")).distinct()
+    known = materialize(classes.select("id", "n", "sketch").join(small(degree).select("id"), "id", "left_semi"), "known")
+    one, two = (small(known).select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
     sized = pairs.join(one, "a").join(two, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    near = materialize(sized.mapInArrow(_flipped(limit), "a long, b long, flipped int"), "near")
+    near = materialize(sized.mapInArrow(_flipped(limit), "a long, b long, flipped int"), "near").select("a", "b")
+
+    # families: components of pairs that are near by sketch; buckets that hold several are compared in blocks
+    families = connected_components(near)
+    placed = materialize(with_components(members.select("key", "id"), families, "id", "component"), "placed")
+    several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size", F.col("size").alias("odds"))
+    several = materialize(several, "several")
+    rest = placed.join(small(several).select("key"), "key", "left_semi").join(small(known), "id").withColumn("odd", F.lit(True))
+    more = materialize(_grouped(rest, several).mapInArrow(_linked(limit, percent, False), "a long, b long").distinct(), "near")
+    families = connected_components(near.union(more))
+
+    # every link lies in a family: confirm on full sets
     docs = rows.withColumnRenamed("doc_id", "id")
-    ends = near.select(F.col("a").alias("id")).union(near.select(F.col("b").alias("id"))).distinct()
-    sets = materialize(_sets(docs.join(ends, "id", "left_semi"), width), "sets")
-    best = near.groupBy("a").agg(F.min(F.struct("flipped", "b"))["b"].alias("b"))
-    best = best.union(near.groupBy("b").agg(F.min(F.struct("flipped", "a"))["a"].alias("a")).select("a", "b")).distinct()
-    first = materialize(_confirm(best, sets, percent), "links")
-    apart = with_components(with_components(near.select("a", "b"), c := connected_components(first), "a", "ca"), c, "b", "cb").where("ca <> cb")
-    links = materialize(first.union(_confirm(apart, sets, percent)), "links")
-    # buckets that still hold more than one component
-    placed = materialize(with_components(members.select("key", "id"), connected_components(links), "id", "component"), "placed")
-    open_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
-    rest = placed.join(known, "id")
-    parts = ("key", "lo", "hi")
-    paired = blocks(rest, materialize(open_, "open")).repartition(*parts).sortWithinPartitions(*parts)
-    near = materialize(paired.mapInArrow(_near_members(limit, percent), "key long, id long, component long, n long, sketch binary").distinct(), "rest")
-    more = materialize(_sets(docs.join(near.select("id").distinct(), "id", "left_semi"), width), "sets")
-    sizes = near.groupBy("key").agg(F.count("*").alias("size"))
-    paired = blocks(near.join(more, "id"), sizes).repartition(*parts).sortWithinPartitions(*parts)
-    found = paired.mapInArrow(_linked_members(limit, percent), "a long, b long")
-    return links.union(found)
+    sets = materialize(_sets(docs.join(small(families), F.col("id") == F.col("node"), "left_semi"), width), "sets")
+    sizes = materialize(families.groupBy("component").agg(F.count("*").alias("size")).withColumnRenamed("component", "key"), "sizes")
+    large = materialize(families.join(small(sizes).where(F.col("size") > BLOCK), F.col("component") == F.col("key"), "left_semi"), "large")
+    stars = near.join(small(large).select(F.col("node").alias("a")), "a", "left_semi")
+    first = materialize(_confirm(stars, sets, percent), "links")
+    inner = with_components(families.select(F.col("node").alias("id"), F.col("component").alias("key")), connected_components(first), "id", "component")
+    inner = materialize(inner, "inner")
+    parts = inner.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("size"))
+    main = main.select("key", "size", F.when(F.col("size") > BLOCK, F.col("main.component")).alias("main"), F.when(F.col("size") > BLOCK, F.col("size") - F.col("main.n")).otherwise(F.col("size")).alias("odds"))
+    main = materialize(main.where("odds > 0"), "main")
+    inner = inner.join(small(main).select("key", "main"), "key").withColumn("odd", ~F.col("component").eqNullSafe(F.col("main"))).drop("main")
+    inner = inner.join(small(known), "id").join(sets, "id")
+    return first.union(_grouped(inner, main).mapInArrow(_linked(limit, percent, True), "a long, b long"))
 
 
 def _flipped(limit: int):
