@@ -294,7 +294,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_veclinks": """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
 pairs AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.norm > 0 AND b.norm > 0 AND len(a.e) = len(b.e)
