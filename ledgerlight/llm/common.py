@@ -87,6 +87,16 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
+#: Most bytes of a batch of rows that goes to a Python worker.
+BATCH_BYTES = "4m"
+
+
+def narrow(df: DataFrame) -> DataFrame:
+    """df, with batches for Python bounded by bytes in its session: texts can be long, and several tasks share a machine."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def in_chunks(batches: Iterator[pa.RecordBatch], name: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most about most_bytes in the column, so that very long texts keep memory bounded."""
     for batch in batches:

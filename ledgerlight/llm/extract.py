@@ -1,7 +1,7 @@
 """Main text of web pages (operator 8): a tree-structured graphical model over the DOM.
 
-Every block element of a page is a variable with three states: all of its text is main text, none is, or some (a
-scaffold). Runs of text have the first two. A node's features (tag, words in class, id and role, length, links, sentence
+Every block element of a page is a variable with four states: all of its text is main text, none is, some (a scaffold
+around it), or most (main text with other parts inside). Runs of text have the first two. A node's features (tag, words in class, id and role, length, links, sentence
 ends) give its own potential, and each parent-child pair has one. Sum-product messages go from the leaves up and from the
 root down, and a run is kept if its marginal for main text is above a half. The tree has no cycles, so marginals are exact.
 
@@ -23,16 +23,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import dom
-from .common import in_chunks, table
+from .common import in_chunks, narrow, table
 
-MAIN, REST, SOME = 0, 1, 2
+MAIN, REST, SOME, MOST = 0, 1, 2, 3
+STATES = 4
 TRAINING_PAGES, SEED = 1500, 8
 
 TAGS = {t: i + 1 for i, t in enumerate("#root html body div section article main header footer nav aside form ul ol li p h1 h2 h3 h4 h5 h6 blockquote pre table tbody tr td th dl dt dd figure figcaption details summary address center fieldset menu # a span".split())}
 N_TAGS = len(TAGS) + 1
 _SENTENCE = re.compile(r"[.!?。…:;]\W*$")
-#: Feature -> number of values, and the weight of its log-probability (shape features of one node overlap).
-FEATURES = {"tag": (N_TAGS, 1.0), "hint": (len(dom.KINDS), 1.0), "length": (6, 0.3), "links": (4, 0.5), "sentence": (3, 0.3)}
+#: Feature of a node -> number of values, and the weight of its log-probability (they overlap).
+FEATURES = {"length": (6, 0.3), "links": (4, 0.5), "sentence": (3, 0.3)}
+#: Feature of an edge: what the child is called depends on the states of both ends.
+EDGES = {"tag": N_TAGS, "hint": len(dom.KINDS)}
 
 
 def arrays(pages: list[dom.Page]) -> dict[str, np.ndarray]:
@@ -67,25 +70,30 @@ def arrays(pages: list[dom.Page]) -> dict[str, np.ndarray]:
 
 
 class Model:
-    """Log potentials: own[feature][state, value], pair[leaf][parent state, state], root[state]."""
+    """Log potentials: own[feature][state, value], pair[leaf, parent state, state], named[feature][value, parent state,
+    state], root[state]."""
 
-    def __init__(self, own: dict[str, np.ndarray], pair: np.ndarray, root: np.ndarray):
-        self.own, self.pair, self.root = own, pair, root
+    def __init__(self, own: dict[str, np.ndarray], pair: np.ndarray, named: dict[str, np.ndarray], root: np.ndarray):
+        self.own, self.pair, self.named, self.root = own, pair, named, root
+
+    def edges(self, a: dict[str, np.ndarray]) -> np.ndarray:
+        """Potential of every node's edge to its parent: (node, parent state, state)."""
+        return self.pair[a["leaf"].astype(np.int64)] + sum(self.named[f][a[f]] for f in EDGES)
 
     def marginals(self, a: dict[str, np.ndarray]) -> np.ndarray:
         """P(state) of every node, by one pass of messages up and one down."""
         n = len(a["parent"])
-        score = np.zeros((n, 3))
+        score = np.zeros((n, STATES))
         for f, (_, weight) in FEATURES.items():
             score += weight * self.own[f][:, a[f]].T
-        score[a["leaf"], SOME] = -np.inf
-        parent, kind = a["parent"], a["leaf"].astype(np.int64)
-        sent = np.zeros((n, 3))
+        score[a["leaf"], SOME:] = -np.inf
+        parent, edge = a["parent"], self.edges(a)
+        sent = np.zeros((n, STATES))
         gathered = score.copy()
         for level in reversed(a["levels"]):
             at = level[parent[level] >= 0]
             if len(at):
-                sent[at] = _log_sum(self.pair[kind[at]] + gathered[at][:, None, :], 2)
+                sent[at] = _log_sum(edge[at] + gathered[at][:, None, :], 2)
                 np.add.at(gathered, parent[at], sent[at])
         belief = gathered.copy()
         for level in a["levels"]:
@@ -95,7 +103,7 @@ class Model:
             if len(at):
                 without = belief[parent[at]] - sent[at]
                 without -= without.max(axis=1, keepdims=True)
-                belief[at] = gathered[at] + _log_sum(self.pair[kind[at]] + without[:, :, None], 1)
+                belief[at] = gathered[at] + _log_sum(edge[at] + without[:, :, None], 1)
         belief -= belief.max(axis=1, keepdims=True)
         p = np.exp(belief)
         return p / p.sum(axis=1, keepdims=True)
@@ -116,23 +124,28 @@ def fit(labelled: Iterable[str], smooth: float = 0.5) -> Model:
     for level in reversed(a["levels"]):
         at = level[(parent[level] >= 0)]
         np.add.at(main, parent[at], main[at])
-    state = np.where(main == a["total"], MAIN, np.where(main == 0, REST, SOME))
+    state = np.where(main == a["total"], MAIN, np.where(main == 0, REST, np.where(label, MOST, SOME)))
     used = a["total"] > 0
     own = {}
     for f, (size, _) in FEATURES.items():
-        counts = np.full((3, size), smooth)
+        counts = np.full((STATES, size), smooth)
         np.add.at(counts, (state[used], a[f][used]), 1)
         own[f] = np.log(counts / counts.sum(axis=1, keepdims=True))
-    pair = np.full((2, 3, 3), smooth)
-    pair[1, :, SOME] = 1e-9
+    pair = np.full((2, STATES, STATES), smooth)
+    pair[1, :, SOME:] = 1e-9
     at = np.flatnonzero(used & (parent >= 0))
     np.add.at(pair, (a["leaf"][at].astype(np.int64), state[parent[at]], state[at]), 1)
     # what holds all or none of the main text holds nothing of the other kind below it
     pair[:, MAIN, 1:] = smooth / 10
-    pair[:, REST, [0, 2]] = smooth / 10
-    root = np.full(3, smooth)
+    pair[:, REST, [MAIN, SOME, MOST]] = smooth / 10
+    named = {}
+    for f, size in EDGES.items():
+        counts = np.full((size, STATES, STATES), smooth / 10)
+        np.add.at(counts, (a[f][at], state[parent[at]], state[at]), 1)
+        named[f] = np.log(counts / counts.sum(axis=0))
+    root = np.full(STATES, smooth)
     np.add.at(root, state[used & (parent < 0)], 1)
-    return Model(own, np.log(pair / pair.sum(axis=2, keepdims=True)), np.log(root / root.sum()))
+    return Model(own, np.log(pair / pair.sum(axis=2, keepdims=True)), named, np.log(root / root.sum()))
 
 
 _SYLLABLES = "ba de fi go lu ma ne pi ro su ta ve wi xo ya zu ker lan mor tis".split()
@@ -227,6 +240,8 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = SEED) -> list[str]:
     for _ in range(n):
         before = [_boilerplate(r, k) for k in ("notice", "header", "menu", "advert", "form") if r.random() < 0.5]
         after = [_boilerplate(r, k) for k in ("share", "comment", "side", "advert", "notice", "form", "footer") if r.random() < 0.5]
+        if r.random() < 0.1:
+            before, after = [], []
         r.shuffle(before)
         middle = _article(r)
         if r.random() < 0.4:
@@ -281,7 +296,7 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string()), pa.array([len(x) for x in text], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     chosen = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return chosen.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return narrow(chosen).mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 
 def op8_extract(spark, sf_dir: str) -> DataFrame:
