@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType
 from ledgerlight.functions import devanagari
 
 
-def map_distinct(rows: DataFrame, columns: dict[str, str], function: Callable[[Column], Column], only: Callable[[Column], Column] | None = None) -> DataFrame:
+def map_distinct(rows: DataFrame, columns: dict[str, str], function: Callable[[Column], Column], only: Callable[[Column], Column] | None = None, kind: str = "string") -> DataFrame:
     """rows with columns[source] = function(source), computed on distinct values that are not null (and satisfy ``only``).
 
     The map is joined back by Spark's own choice: broadcast when its size allows, by shuffle otherwise; skewed values are
@@ -29,7 +29,7 @@ def map_distinct(rows: DataFrame, columns: dict[str, str], function: Callable[[C
     mapped = values.distinct().withColumn("d__new", function(F.col("d__value")))
     for i, (source, target) in enumerate(columns.items()):
         side = mapped.select(F.col("d__value").alias(f"d__v{i}"), F.col("d__new").alias(f"d__n{i}"))
-        old = F.col(target) if target in rows.columns else F.lit(None).cast("string")
+        old = F.col(target) if target in rows.columns else F.lit(None).cast(kind)
         rows = rows.join(side, F.col(source) == F.col(f"d__v{i}"), "left").withColumn(target, F.coalesce(old, F.col(f"d__n{i}"))).drop(f"d__v{i}", f"d__n{i}")
     return rows
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions import scorers
 
+from .distinctmap import map_distinct
+
 #: Most areas of one search; defaults of search and verification.
 MAX_AREAS, MIN_SCORE, LIMIT, AGE_TOLERANCE = 5, 70.0, 20, 3
 VERIFY_MIN_SCORE, VERIFY_LIMIT, VERIFY_TOLERANCE = 60.0, 10, 5
@@ -61,6 +63,20 @@ def top_scored(rows: DataFrame, queries: list[str | None], columns: list[str | C
     return scored.orderBy(F.desc("score"), *[F.asc(k) for k in keys]).limit(limit).where(F.col("score") >= min_score)
 
 
+def score_once(rows: DataFrame, queries: list[str | None], columns: list[str], algorithm: str = scorers.DEFAULT_ALGORITHM) -> DataFrame:
+    """rows with score, every distinct name scored once; for columns whose names repeat a lot.
+
+    Scores don't depend on how rows are grouped, so areas need no batches of their own: a group's scores are its rows'.
+    """
+    asked = [(q, c) for q, c in zip(queries, columns) if q]
+    total: Column = F.lit(None).cast("double")
+    for i, (q, c) in enumerate(asked):
+        rows = map_distinct(rows.withColumn(f"s__{i}", F.coalesce(c, F.lit(""))), {f"s__{i}": f"s__score{i}"}, lambda v, q=q: scorers.score(v, q, algorithm), kind="double")
+        total = F.col(f"s__score{i}") if i == 0 else total + F.col(f"s__score{i}")
+    out = rows.withColumn("score", total / len(asked) if asked else total)
+    return out.drop(*[f"s__{i}" for i in range(len(asked))], *[f"s__score{i}" for i in range(len(asked))])
+
+
 def search(rows: DataFrame, name: str | None = None, relative: str | None = None, *, algorithm: str = scorers.DEFAULT_ALGORITHM, min_score: float = MIN_SCORE, limit: int = LIMIT, script_bridge: bool = True, **filters) -> DataFrame:
     """Best matches of a name and/or a relative's name among the rows that pass the filters.
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions import normalize as nz
 from ledgerlight.operators import audit, evaluate, layout, search, sequences
+from ledgerlight.plans import synthetic
 from ledgerlight.sources import rolls
 
 SCHEMA = "id long, roll_year int, ac_code string, part_no int, serial_no int, full_name string, full_relative_name string, relation_label string, age int, gender string"
@@ -46,6 +47,14 @@ def test_search_scores_each_row_once(roll):
     assert "TakeOrderedAndProject" in plan
 
 
+def test_distinct_names_are_scored_once(spark):
+    rows = synthetic.rolls(spark, 2, per_area=600).withColumn("full_name", F.when(F.col("id") % 7 > 0, F.col("full_name")))
+    one = search.score_once(rows, ["Ravi Rao", "Asha"], ["full_name", "full_relative_name"]).select("id", F.round("score", 6)).collect()
+    two = rows.select("id", F.round(search.scorers.mean_score(["Ravi Rao", "Asha"], [F.col("full_name"), F.col("full_relative_name")]), 6)).collect()
+    assert len(one) == 1200 and dict(map(tuple, one)) == dict(map(tuple, two))
+    assert {r.score for r in search.score_once(rows, [None], ["full_name"]).select("score").collect()} == {None}
+
+
 def test_latin_query_bridges_scripts(spark):
     rows = spark.createDataFrame([(1, "सुभाष", "subhASha", "", None)], "id long, full_name string, full_name_latin string, full_relative_name string, full_relative_name_latin string")
     rows = rows.withColumns({"ac_code": F.lit("A"), "age": F.lit(1), "gender": F.lit("M"), "part_no": F.lit(1)})
