@@ -146,3 +146,15 @@ def glyph_lookup(text: Column, table: dict[str, str], label: str) -> tuple[Colum
     code = F.try_element_at(_literal_map(table or {"": ""}), glyph_key(text))
     miss = undecoded(text) & code.isNull()
     return F.when(~undecoded(text), text).otherwise(F.coalesce(code, F.lit(""))), F.when(miss, F.concat(F.lit(f"unrecognized {label} in Bengali script: gid "), glyph_key(text)))
+
+
+def glyph_numbers(names: Column) -> Column:
+    """Numbers in glyph names like G1F; null if a name isn't of that kind."""
+    numbers = F.transform(names, lambda n: F.conv(F.nullif(F.regexp_extract(n, "^G([0-9A-Fa-f]{2,4})$", 1), F.lit("")), 16, 10).cast("int"))
+    return F.when(~F.exists(numbers, lambda n: n.isNull()), numbers)
+
+
+def font_characters(numbers: Column) -> Column:
+    """Characters of a font's glyphs: Latin in the standard order if all numbers lie in 3 to 97, else private-use ones."""
+    latin = F.forall(numbers, lambda n: n.between(3, 97))
+    return F.transform(numbers, lambda n: F.when(latin, F.char(n + 29)).otherwise(F.decode(F.unhex(F.lpad(F.hex(n + 0xE000), 4, "0")), "UTF-16BE")))

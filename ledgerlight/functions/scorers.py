@@ -12,8 +12,9 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _NOT_WORD = re.compile(r"\W")
 
@@ -341,7 +342,7 @@ def score(candidate: Column, query: str, algorithm: str = DEFAULT_ALGORITHM) ->
     once. Marked nondeterministic, so that a filter on the score doesn't score the rows again."""
     many = _known(algorithm)[2]
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def run(batch: pd.Series) -> pd.Series:
         places, values = pd.factorize(batch.fillna(""), sort=False)
         return pd.Series(many(query, values.tolist())[places] if len(values) else np.empty(0))
@@ -351,16 +352,18 @@ def score(candidate: Column, query: str, algorithm: str = DEFAULT_ALGORITHM) ->
 
 def pair_score(left: Column, right: Column, algorithm: str = DEFAULT_ALGORITHM) -> Column:
     """Score of two columns, row by row; distinct lefts of a batch are taken as queries one after the other."""
-    many = _known(algorithm)[2]
+    return _pair_udf(_known(algorithm)[2])(left, right)
+
 
-    @F.pandas_udf("double")
+def _pair_udf(many: Many):
+    @F.pandas_udf(DoubleType())
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         out = np.zeros(len(a))
         for query, rows in a.fillna("").groupby(a.fillna("")).indices.items():
             out[rows] = many(query, b.iloc[rows].fillna("").tolist())
         return pd.Series(out)
 
-    return run(left, right)
+    return run
 
 
 def mean_score(queries: list[str | None], columns: list[Column], algorithm: str = DEFAULT_ALGORITHM) -> Column:
@@ -369,3 +372,9 @@ def mean_score(queries: list[str | None], columns: list[Column], algorithm: str
     if not parts:
         return F.lit(None).cast("double")
     return sum(parts[1:], parts[0]) / len(parts)
+
+
+def register_sql(spark: SparkSession) -> None:
+    """Make every algorithm an SQL function (query, candidate) -> score."""
+    for name, (_, _, many) in ALGORITHMS.items():
+        spark.udf.register(name, _pair_udf(many))

@@ -87,3 +87,33 @@ def publish(rows: DataFrame, files: DataFrame, out: str, contract: str = CONTRAC
     chosen.write.mode("overwrite").partitionBy(*keys).parquet(table_path(out, contract, patch))
     todo.write.mode("append").parquet(f"{table_path(out, contract, patch)}.manifest")
     return todo
+
+
+def state_coverage(index: DataFrame, constituency: DataFrame, labels: dict[str, str], built_at: Column | None = None) -> DataFrame:
+    """(state_id, label, acs_total, acs_digitized, locality_coverage, built_at) per state of constituency(state, ac_code)."""
+    totals = constituency.groupBy("state").agg(F.count("*").alias("total"))
+    out = coverage(index, "state", totals)
+    label = F.coalesce(*[F.when(F.col("state") == s, F.lit(x)) for s, x in labels.items()], F.col("state"))
+    now = built_at if built_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    return out.select(F.col("state").alias("state_id"), label.alias("label"), F.col("total").alias("acs_total"), F.col("digitized").alias("acs_digitized"), "locality_coverage", now.alias("built_at"))
+
+
+def artefacts(spark: SparkSession, out: str, contract: str = CONTRACT, patch: int = PATCH) -> DataFrame:
+    """(state, ac_code, contract, patch, file_size_bytes) of the published areas."""
+    table = spark.read.parquet(table_path(out, contract, patch)).select("state", "ac_code", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n"))
+    files = table.distinct()
+    return files.groupBy("state", "ac_code").agg(F.sum("n").alias("file_size_bytes")).select("state", "ac_code", F.lit(contract).alias("contract"), F.lit(patch).alias("patch"), "file_size_bytes")
+
+
+def migrate(spark: SparkSession, out: str, states: list[str], contract: str = CONTRACT, patch: int = PATCH) -> int:
+    """Publish the next patch with the missing Latin names of the given states filled in; returns how many distinct names
+    were missing, per column. It can be run again: filled names stay."""
+    from .distinctmap import fill_latin
+
+    old = spark.read.parquet(table_path(out, contract, patch))
+    missing = sum(old.where(F.col("state").isin(states) & F.col(f"{c}_latin").isNull() & (F.col(c) != "")).select(c).distinct().count() for c in ("full_name", "full_relative_name"))
+    fill_latin(old, states).select(*old.columns).write.mode("overwrite").partitionBy("state", "ac_code").parquet(table_path(out, contract, patch + 1))
+    done = finished(spark, out, contract, patch)
+    if done is not None:
+        done.write.mode("overwrite").parquet(f"{table_path(out, contract, patch + 1)}.manifest")
+    return missing

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Fixed value: ranks at which recall is reported.
@@ -51,3 +51,31 @@ def corruptions(name: Column) -> Column:
     mn = F.when(F.contains(name, F.lit("m")), first("m", "n")).otherwise(first("n", "m"))
     made = F.array(vw, first("i", "y"), first("th", "t"), first("ph", "f"), first("a", "aa"), mn, first(" ", ""), F.when(F.length(name) > 3, deleted).otherwise(name), F.when(F.length(name) > 3, swapped).otherwise(name))
     return F.array_distinct(F.filter(made, lambda x: x != name))
+
+
+#: First and last names of the evaluation set, its queries, and the size and hard part of a pool.
+FIRST = "Aarav Ananya Bharath Chitra Deepak Divya Gautham Geetha Harish Indira Jyothi Karthik Kavitha Lakshmi Mahesh Meena Mohan Nagaraj Nandini Prakash Priya Rajesh Ramya Sanjay Shobha Suresh Thippesh Uma Vinith Yashoda".split()
+LAST = "Bhat Chandra Desai Gowda Hegde Iyengar Joshi Kamath Murthy Nayak Prabhu Rao Shetty Upadhya Varma".split()
+QUERIES, POOL, HARD = 150, 20, 10
+
+
+def dataset(spark: SparkSession, seed: int = 42) -> DataFrame:
+    """QUERIES rows (query, true_name, candidates): a corrupted name and a pool of POOL names with the true one.
+
+    At most HARD of the others share its first or last name. Everything is drawn by hash, so a seed gives one set.
+    """
+    names = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in FIRST])).alias("first"), F.array(*[F.lit(x) for x in LAST]).alias("l")).select("first", F.explode("l").alias("last"))
+    names = names.withColumn("name", F.concat_ws(" ", "first", "last"))
+    draw = lambda *of: F.xxhash64(*of, F.lit(seed))
+    variants = names.withColumn("v", corruptions(F.lower("name"))).where(F.size("v") > 0)
+    asked = variants.orderBy(draw("name"), "name").limit(QUERIES)
+    asked = asked.select("first", "last", F.col("name").alias("true_name"), F.get("v", F.pmod(draw("name", F.lit("v")), F.size("v").cast("long")).cast("int")).alias("query"))
+    other = names.select(F.col("first").alias("f"), F.col("last").alias("l"), F.col("name").alias("other"))
+    pairs = asked.join(other, F.col("true_name") != F.col("other"))  # a closed list of names on both sides
+    pairs = pairs.withColumn("hard", (F.col("first") == F.col("f")) | (F.col("last") == F.col("l")))
+    order = Window.partitionBy("true_name", "hard").orderBy(draw("true_name", "other"), "other")
+    pairs = pairs.withColumn("k", F.row_number().over(order)).where(F.when(F.col("hard"), F.col("k") <= HARD).otherwise(F.col("k") <= POOL))
+    ranked = pairs.withColumn("place", F.row_number().over(Window.partitionBy("true_name").orderBy(F.desc("hard"), "k"))).where(F.col("place") < POOL)
+    pools = ranked.groupBy("query", "true_name").agg(F.collect_list("other").alias("others"))
+    shuffled = F.transform(F.array_sort(F.transform(F.concat("others", F.array("true_name")), lambda n: F.struct(F.xxhash64(n, F.col("true_name"), F.lit(seed)).alias("d"), n.alias("n")))), lambda x: x["n"])
+    return pools.select("query", "true_name", shuffled.alias("candidates"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.operators import build
+
 #: Rows per area and how often a name is a stub of one or two letters.
 PER_AREA, STUB_EVERY = 40_000, 500
 
@@ -28,3 +30,12 @@ def rolls(spark: SparkSession, areas: int, seed: int = 42, per_area: int = PER_A
         F.when(stub, F.substring(_pick(_FIRST, seed), 1, 2)).otherwise(name).alias("full_name"),
         F.concat(_pick(_FIRST, seed + 5), F.lit(" "), _pick(_LAST, seed + 2)).alias("full_relative_name"),
     )
+
+
+def tier(spark: SparkSession, areas: int, table: DataFrame | None = None) -> DataFrame:
+    """Rows of the largest ``areas`` areas of a stored roll, or invented ones where it is missing or has fewer areas."""
+    if table is not None:
+        groups = build.largest_groups(table, ["state", "ac_code"], areas)
+        if groups.count() == areas:
+            return build.only_groups(table, groups, ["state", "ac_code"]).select("id", "state", "ac_code", "full_name", "full_relative_name")
+    return rolls(spark, areas)
