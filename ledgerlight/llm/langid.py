@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, table
+from .common import in_chunks, narrow, table
 
 ORDER = 4
 HASHES = 3
@@ -215,7 +215,7 @@ def predict(docs: DataFrame, model: MaskFilter) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
 
     schema = type(docs.schema)(fields).add("lang_pred", "string").add("score", "double")
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return narrow(docs.select(*[F.col(f"`{c}`") for c in keep])).mapInArrow(run, schema)
 
 
 #: Least corrected share of known n-grams; prose of a learned language has several times as much.
@@ -224,9 +224,10 @@ LEAST_SCORE = 0.2
 
 def keep_languages(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of docs, as they are, whose text is in a learned language with at least that score."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    inner = docs.select(F.struct(*others, F.lit(0)).alias("row"), F.col("text").cast("string").alias("text"))
     judged = predict(inner, fit(docs))
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op7_langid(spark, sf_dir: str) -> DataFrame:

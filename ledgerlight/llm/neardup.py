@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK, against_all, by_group
-from .common import in_chunks, materialize, small, table
+from .common import in_chunks, materialize, narrow, small, table
 from .components import connected_components, with_components
 
 BANDS, ROWS = 36, 5
@@ -137,7 +137,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
                 [batch.column(0), pa.array(n), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], ["doc_id", "n", "key", "bands", "sketch"]
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, key binary, bands array<long>, sketch binary")
+    return narrow(docs).mapInArrow(run, "doc_id long, n long, key binary, bands array<long>, sketch binary")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -146,7 +146,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
             sets = [shingles(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "members"])
 
-    return docs.mapInArrow(run, "id long, members array<long>")
+    return narrow(docs).mapInArrow(run, "id long, members array<long>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

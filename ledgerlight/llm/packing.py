@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import column_or_null, in_chunks, materialize, table, texts
+from .common import column_or_null, in_chunks, materialize, narrow, table, texts
 
 #: Credit is counted in this part of a token.
 UNIT = 1024
@@ -74,7 +74,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int | None = 1) -> DataFrame:
             )
 
     chosen = docs.select(F.col("doc_id").cast("long"), column_or_null(docs, "source", "string").cast("string").alias("source"), F.col("text").cast("string"))
-    return chosen.mapInArrow(run, "pid int, source string, doc_id long, ids binary, n long, before long")
+    return narrow(chosen).mapInArrow(run, "pid int, source string, doc_id long, ids binary, n long, before long")
 
 
 def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | None = None, window: int = 2048, segment: int = 512, end_id: int | None = 1) -> DataFrame:
@@ -137,7 +137,7 @@ def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | N
     b = starts.select(F.col("pid").alias("b_pid"), F.col("source").alias("b_source"), "base")
     joined = held.join(b, (held.pid == b.b_pid) & held.source.eqNullSafe(b.b_source))  # starts has a file's statistics: broadcast only below Spark's threshold
     chosen = joined.select("doc_id", "source", "n", (F.col("base") + F.col("before")).alias("first"), "ids")
-    return chosen.mapInArrow(place, "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return narrow(chosen).mapInArrow(place, "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def with_crc(pieces: DataFrame, path: str | None = None) -> DataFrame:
@@ -152,7 +152,7 @@ def with_crc(pieces: DataFrame, path: str | None = None) -> DataFrame:
             yield batch.set_column(at, "ids_crc32", pa.array(crc, pa.int64()))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" if f.name != "ids" else "ids_crc32 long" for f in pieces.schema.fields)
-    return pieces.mapInArrow(run, schema)
+    return narrow(pieces).mapInArrow(run, schema)
 
 
 def op1_packing(spark, sf_dir: str) -> DataFrame:
