@@ -81,8 +81,9 @@ def mix(docs: DataFrame, max_epochs: float | None = 2.0, target_entropy: float |
     Driver memory: one total per source.
     """
     keep = [c for c in docs.columns if c.lower() not in {"mix_epoch", "mix_block", "mix_rank", "mix_weight"}]
-    source = column_or_null(docs, "source", "string").cast("string")
-    held = docs.select(*[F.col(f"`{c}`") for c in keep]).withColumns({"mix__source": source, "mix__n": n_words(F.col("text").cast("string"))})
+    source = column_or_null(docs, "source", "string").cast("string").alias("mix__source")
+    draw = F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed)).alias("mix__hash")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("mix__row"), source, n_words(F.col("text").cast("string")).alias("mix__n"), draw)
     totals = sorted(((r[0], r[1]) for r in held.groupBy("mix__source").agg(F.sum("mix__n")).collect()), key=lambda x: (x[0] is not None, x[0] or ""))
     exponent = choose_exponent([t for _, t in totals], max_epochs, target_entropy, budget)
     turns = epochs([t for _, t in totals], exponent, budget) or [1.0] * len(totals)
@@ -100,8 +101,7 @@ def mix(docs: DataFrame, max_epochs: float | None = 2.0, target_entropy: float |
             "mix_weight": pa.array(weights, pa.float64()),
         },
     )
-    draw = F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed))
-    dealt = held.join(plan, F.col("mix__source").eqNullSafe(F.col("p_source"))).withColumns({"mix_block": F.pmod(draw, F.col("p_blocks")), "mix__draw": F.xxhash64(draw)})
+    dealt = held.join(plan, F.col("mix__source").eqNullSafe(F.col("p_source"))).withColumns({"mix_block": F.pmod("mix__hash", F.col("p_blocks")), "mix__draw": F.xxhash64("mix__hash")})
     # one row per block: budgeted prefix of the last, partial epoch's permutation
     blocks = dealt.groupBy("p_source", "mix_block", "p_whole", "p_rest").agg(F.sum("mix__n").alias("n"))
     order = Window.partitionBy("p_source").orderBy(F.xxhash64("mix_block", "p_whole", F.lit(seed)), "mix_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -119,7 +119,7 @@ def mix(docs: DataFrame, max_epochs: float | None = 2.0, target_entropy: float |
     taken = F.when(F.col("p_rest") <= 0, False).when(F.col("b_room") >= F.col("n"), F.col("b_room") > 0).when(F.col("b_room") <= 0, False).otherwise(F.coalesce(F.col("mix__draw") <= F.col("l_draw"), F.lit(False)))
     copies = F.sequence(F.lit(0), F.col("p_whole") + F.when(taken, 1).otherwise(0) - 1)
     placed = placed.withColumn("mix__copies", F.when(F.col("p_whole") + F.when(taken, 1).otherwise(0) > 0, copies).otherwise(F.array().cast("array<int>")))
-    out = placed.select(*[F.col(f"`{c}`") for c in keep], F.explode("mix__copies").alias("mix_epoch"), "mix_block", "mix_weight")
+    out = placed.select(*[F.col("mix__row").getField(c).alias(c) for c in keep], F.explode("mix__copies").alias("mix_epoch"), "mix_block", "mix_weight")
     return out.withColumn("mix_rank", F.xxhash64("mix_block", "mix_epoch", F.lit(seed)))
 
 

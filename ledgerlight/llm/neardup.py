@@ -313,12 +313,13 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     judged = near_duplicates(docs, width, percent).where("doc_id IS NOT NULL")
     verdicts = judged.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("copies"))
     marked = materialize(verdicts.where("NOT kept OR copies > 1").withColumnRenamed("doc_id", "n__id"), "verdicts")
-    same = F.col("doc_id").cast("long") == F.col("n__id")
-    rest = docs.join(marked.select("n__id"), same, "left_anti")
-    repeated = docs.join(marked.where("kept").select("n__id"), same, "left_semi")
-    if repeated.isEmpty():
-        return rest
-    return rest.unionByName(repeated.dropDuplicates(["doc_id"]))
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("n__row"), F.col("doc_id").cast("long").alias("n__doc"))
+    same = F.col("n__doc") == F.col("n__id")
+    left = inner.join(small(marked).select("n__id"), same, "left_anti")
+    repeated = small(marked).where("kept").select("n__id")
+    if not repeated.isEmpty():  # several rows of one doc_id: one of them stays
+        left = left.unionByName(inner.join(repeated, same, "left_semi").dropDuplicates(["n__doc"]))
+    return left.select(*[F.col("n__row").getField(c).alias(c) for c in docs.columns])
 
 
 def op4_neardup(spark, sf_dir: str) -> DataFrame:

@@ -54,6 +54,29 @@ def test_run_gives_the_same_rows(spark, stages):
     assert got.agg(F.sum("length")).first()[0] == stages[5].agg(F.sum("length")).first()[0]
 
 
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, row int, score double, lang_pred string, q_words int, kept int, n__id int, key string, n int, id int, node int, component int, p_source string, mix_block int, ids int, pid int, mix__n int"
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    words = " ".join(f"the {chr(97 + i % 26)}{chr(97 + i // 26)}ing" for i in range(60))
+    extra = (1, 2.0, "x", 3, 4, 5, "k", 6, 7, 8, 9, "p", 10, 11, 12, 13)
+    rows = [(i, f"{words} {i} number {i} of the lot {i}", "en", "s", 1, *extra) for i in range(40)]
+    rows += [(50, None, None, None, None, *[None] * 16), (51, "", "en", "s", 0, *extra), (52, "x " * 200_000, "en", None, 0, *extra), (None, words, None, "s", 0, *extra), (53, words, "de", "t", 0, *extra), (53, words, "de", "t", 0, *extra)]
+    docs = spark.createDataFrame(rows, CLASHING)
+    out = stage(spark, docs, "")
+    got = out.collect()
+    if name != "packing":
+        assert out.columns == docs.columns
+    want = {"quality": {None, 53} | set(range(40)), "mixing": {r[0] for r in rows}, "packing": {r[0] for r in rows}, "language": {None, 52, 53} | set(range(40))}
+    if name in want:
+        assert {r.doc_id for r in got} >= want[name] - {52}
+    if name == "near_duplicates":
+        assert sum(r.doc_id == 53 for r in got) <= 1 and {50, 51, 52, None} <= {r.doc_id for r in got}
+    assert stage(spark, docs.limit(0), "").collect() == []
+
+
 def test_the_rest_stands_without_this_folder(tmp_path):
     code = "import sys; sys.modules['ledgerlight.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; q = e.queries(); print(len(q), [n for n in q if n[:2] == 'op' or n == 'pipeline'])"
     out = subprocess.run([sys.executable, "-c", code], cwd=REPO, env=os.environ | {"PYTHONPATH": REPO}, capture_output=True, text=True, check=True).stdout
