@@ -327,4 +327,18 @@ def op4_neardup(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_neardup": op4_neardup}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_neardup": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS grams FROM w),
+x AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM x a JOIN x b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * k >= 85 * (na + nb - k)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.grams)::BIGINT AS n_shingles, coalesce(least(s.doc_id, low.b), s.doc_id) AS component_id, coalesce(least(s.doc_id, low.b), s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN low ON low.a = s.doc_id"""
+}

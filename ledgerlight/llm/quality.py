@@ -151,4 +151,25 @@ def op9_quality(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_quality": op9_quality}
-ORACLE_SQL: dict[str, str] = {}
+_FENCES = ", ".join(f"greatest({floor}, quantile_disc({m}, 0.75) + {spread} * (quantile_disc({m}, 0.75) - quantile_disc({m}, 0.25))) AS t_{m}" for m, (floor, spread) in RULES.items())
+_PASSES = " AND ".join(f"{m} <= t_{m}" for m in RULES)
+
+#: With exact quartiles, which the sketches give as well while a group has no more rows than SKETCH_K.
+ORACLE_SQL = {
+    "op9_quality": f"""
+WITH w AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
+again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM g),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again WHERE n > 1) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, lang, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, (length(text) - length(regexp_replace(text, '{SYMBOLS}', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN covered c USING (doc_id)),
+r AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed, n_symbols / greatest(word_chars, 1) AS symbol_share, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
+         n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS word_length FROM m),
+f AS (SELECT lang AS t_lang, source AS t_source, {_FENCES} FROM r GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_PASSES} AS kept
+FROM r JOIN f ON t_lang IS NOT DISTINCT FROM lang AND t_source IS NOT DISTINCT FROM source"""
+}
