@@ -150,7 +150,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL)
     for lang, n in counts:
         under = under | ((F.col("lang") == lang) & (draw < min(1 << 20, -(-share * (1 << 20) // n))))
     seen: dict[str, dict] = {}
-    for row in chosen.where(under).select("lang", "text").toLocalIterator():
+    sample = chosen.where(under).select("lang", "text").repartition(8)  # the iterator runs a job for each partition
+    for row in sample.toLocalIterator():
         got = seen.setdefault(row["lang"], _nothing())
         parts = [np.unique(ngrams([p])[0]) for p in _pieces(row["text"])]
         got["held"].append(np.unique(np.concatenate(parts)))
