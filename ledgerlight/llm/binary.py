@@ -140,6 +140,21 @@ def pack_binary(docs: DataFrame, path: str | None = None, width: int = 2048, end
     return narrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).mapInArrow(run, SCHEMA)
 
 
+def write_packed(packed: DataFrame, path: str) -> None:
+    """Write packed rows as Parquet files of about 64,000 rows each, ids as one fixed-width binary value a row."""
+    packed.write.option("maxRecordsPerFile", 1 << 16).option("compression", "zstd").parquet(path)
+
+
+def unpacked(ids: bytes, cu_seqlens: list[int], width: int = 2048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, positions, segments) of one row: positions start from 0 in every segment; the padding's segment is -1."""
+    row = np.frombuffer(ids, f"<u{len(ids) // width}")
+    cuts = np.asarray(cu_seqlens)
+    segments = np.searchsorted(cuts, np.arange(width), side="right") - 1
+    segments[cuts[-1] :] = -1
+    positions = np.where(segments < 0, 0, np.arange(width) - cuts[np.maximum(segments, 0)])
+    return row, positions, segments
+
+
 def op10_binary(spark, sf_dir: str) -> DataFrame:
     return pack_binary(table(spark, sf_dir, "documents"))
 

@@ -123,6 +123,17 @@ def test_best_fit_matches_a_plain_search(lengths):
     assert sorted(p for r in got for p in r) == sorted([p for r in rows for p in r] + rest)
 
 
+def test_written_rows_can_be_read_again(spark, docs, tmp_path):
+    packed = binary.pack_binary(docs, width=256)
+    binary.write_packed(packed, str(tmp_path / "ids"))
+    back = spark.read.parquet(str(tmp_path / "ids")).collect()
+    assert len(back) == packed.count()
+    for r in back[:50]:
+        ids, positions, segments = binary.unpacked(r.ids, r.cu_seqlens, 256)
+        assert np.flatnonzero((positions == 0) & (segments >= 0)).tolist() == r.position_resets
+        assert (segments >= 0).sum() == r.n_tokens and segments.max() + 1 == len(r.doc_ids) and len(ids) == 256
+
+
 def test_binary_rows_round_trip(docs):
     enc = tokens.encoder(tokens.default_path())
     whole = {}
