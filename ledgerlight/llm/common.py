@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +25,9 @@ def shared_dir(spark: SparkSession) -> str:
         return known.rstrip("/")
     made = getattr(spark, "_ledgerlight_shared", None)
     if made is None:
-        made = "file://" + tempfile.mkdtemp(prefix="ledgerlight-")
-        spark._ledgerlight_shared = made
+        folder = tempfile.mkdtemp(prefix="ledgerlight-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        made = spark._ledgerlight_shared = "file://" + folder
     return made
 
 
@@ -34,9 +38,37 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._ledgerlight_path = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(out)
     return out
 
 
+#: Tables written inside each open scratch(), innermost last.
+_SCRATCH: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that are materialized inside are deleted at the end, except those that keep() is called with: what is
+    returned must have been written by then, or rest on kept tables alone."""
+    tables: list[DataFrame] = []
+    _SCRATCH.append(tables)
+
+    def keep(df: DataFrame) -> DataFrame:
+        if any(df is t for t in tables):
+            tables[:] = [t for t in tables if t is not df]
+            if len(_SCRATCH) > 1:
+                _SCRATCH[-2].append(df)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _SCRATCH.pop()
+        for df in tables:
+            discard(df)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what materialize() wrote, once nothing reads it any more."""
     path = getattr(df, "_ledgerlight_path", None)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, small
+from .common import discard, local_table, materialize, small
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         edges = smaller
     discard(edges)
     if not hooks:
-        return links.select(F.col("a").cast("long").alias("node"), F.col("a").cast("long").alias("component")).where("false")
+        return local_table(links.sparkSession, {"node": pa.array([], pa.int64()), "component": pa.array([], pa.int64())})
     found = hooks[-1]
     for hook in reversed(hooks[:-1]):
         upper = small(found).select(F.col("node").alias("n"), F.col("label").alias("l"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK, against_all, by_group
-from .common import in_chunks, materialize, narrow, small, table
+from .common import in_chunks, materialize, narrow, scratch, small, table
 from .components import connected_components, with_components
 
 BANDS, ROWS = 36, 5
@@ -235,11 +235,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = materialize(_signatures(rows, width), "signatures")
-    known = signed.where("doc_id IS NOT NULL AND key IS NOT NULL")
-    classes = materialize(known.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
-    links = _links(rows, classes, width, percent)
-    components = connected_components(links)
+    with scratch() as keep:
+        signed, classes, components = _judged(rows, width, percent, keep)
     named = classes.select(F.col("key").alias("k"), F.col("id"))
     joined = signed.select("doc_id", "n", "key").join(named, F.col("key") == F.col("k"), "left")
     # doc_ids that name no class of their own reach the class through its id
@@ -248,6 +245,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def _judged(rows: DataFrame, width: int, percent: int, keep) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, classes of equal sets, and the classes' components."""
+    signed = keep(materialize(_signatures(rows, width), "signatures"))
+    known = signed.where("doc_id IS NOT NULL AND key IS NOT NULL")
+    classes = keep(materialize(known.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes"))
+    return signed, classes, keep(connected_components(_links(rows, classes, width, percent)))
+
+
 def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     limit = most_flipped(percent / 100)
     buckets = classes.select("id", F.explode("bands").alias("key"))

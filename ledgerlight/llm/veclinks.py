@@ -24,11 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import blocks, by_group
-from .common import materialize, table
+from .common import materialize, scratch, table
 from .components import connected_components, with_components
 
 WINDOW, BITS, MISS = 256, 62, 1e-5
-ROUNDING = 1e-12
 
 
 def passes_for(rows: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> int:
@@ -116,7 +115,7 @@ def _window_links(ids: np.ndarray, group: np.ndarray, unit: np.ndarray, window:
     forest, links, n = _Forest(), [], len(ids)
     for lo in range(0, n, window):
         a, b = unit[lo : lo + window], unit[lo : lo + 2 * window]
-        near = a @ b.T >= threshold - ROUNDING
+        near = a @ b.T >= threshold
         i, j = np.nonzero(near)
         keep = (j > i) & (j - i <= window) & (group[lo + i] == group[np.minimum(lo + j, n - 1)])
         if cross is not None:
@@ -233,7 +232,7 @@ def _counted(threshold: float, width: int):
             unit = _unit(group.column("vec").to_pylist(), width)
             lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
             one, two = np.flatnonzero(part == lo), np.flatnonzero(part == hi)
-            near = unit[one] @ unit[two].T >= threshold - ROUNDING
+            near = unit[one] @ unit[two].T >= threshold
             if lo == hi:
                 np.fill_diagonal(near, False)
             got = [(ids[one], near @ copies[two])] + ([] if lo == hi else [(ids[two], near.T @ copies[one])])
@@ -254,7 +253,16 @@ def vector_links(vectors: DataFrame, threshold: float = 0.98, window: int = WIND
     width = 4 if dict(vectors.dtypes)["embedding"] == "array<float>" else 8
     kind = "array<float>" if width == 4 else "array<double>"
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("string"), F.col("embedding").cast(kind))
-    held = materialize(_valid(rows, width), "vectors")
+    with scratch() as keep:
+        held, per_class = _linked(rows, width, threshold, window, miss, seed, keep)
+    out = held.select("vec_id", "key").withColumn("key", F.when(F.col("vec_id").isNotNull(), F.col("key"))).join(per_class, F.col("key") == F.col("k"), "left")
+    component = F.coalesce("component", "vec_id")
+    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+def _linked(rows: DataFrame, width: int, threshold: float, window: int, miss: float, seed: int, keep) -> tuple[DataFrame, DataFrame]:
+    """All rows with their class key, and (k, links, component) of each class."""
+    held = keep(materialize(_valid(rows, width), "vectors"))
     good = held.where("vec_id IS NOT NULL AND key IS NOT NULL")
     classes = materialize(good.groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("vec").alias("vec")), "classes")
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
@@ -279,10 +287,8 @@ def vector_links(vectors: DataFrame, threshold: float = 0.98, window: int = WIND
     linked = materialize(paired.mapInArrow(_counted(threshold, width), "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked")).withColumnRenamed("id", "l"), "linked")
     per_class = classes.select("key", "id", "copies").join(linked, F.col("id") == F.col("l"), "left")
     per_class = with_components(per_class, components, "id", "component")
-    per_class = materialize(per_class.select(F.col("key").alias("k"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"), "component"), "per-class")
-    out = held.select("vec_id", "key").withColumn("key", F.when(F.col("vec_id").isNotNull(), F.col("key"))).join(per_class, F.col("key") == F.col("k"), "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    per_class = keep(materialize(per_class.select(F.col("key").alias("k"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"), "component"), "per-class"))
+    return held, per_class
 
 
 def op6_veclinks(spark, sf_dir: str) -> DataFrame:
