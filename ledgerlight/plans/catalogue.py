@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions import devanagari, normalize, scorers
 from ledgerlight.operators import audit, build, evaluate, search, sequences
-from ledgerlight.operators.distinctmap import map_distinct
+from ledgerlight.operators.distinctmap import fill_latin, map_distinct
+from ledgerlight.sources import parts as part_ids
+from ledgerlight.sources.rolls import DelimitedSource
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -407,12 +409,14 @@ def occupancy_widest_gap(spark, sf_dir):
 
 
 @query("""
-WITH l AS (SELECT l_suppkey, max(l_linenumber) + 2 AS top, list_distinct(list(l_linenumber::BIGINT)) AS listed FROM lineitem GROUP BY l_suppkey)
-SELECT l_suppkey, array_to_string(list_sort(list_distinct(list_concat(range(1, top + 1), listed))), ',') AS parts FROM l""")
+WITH l AS (SELECT l_suppkey, list_distinct(list(lpad(l_linenumber::VARCHAR, 4, '0') || CASE WHEN l_linenumber % 3 = 0 THEN 'A' ELSE '' END)) AS listed,
+             max(CASE WHEN l_linenumber % 3 > 0 THEN l_linenumber END) AS plain FROM lineitem GROUP BY l_suppkey)
+SELECT l_suppkey, array_to_string(list_sort(list_distinct(list_concat(list_transform(range(1, plain + 1), lambda x: lpad(x::VARCHAR, 4, '0')), listed))), ',') AS parts FROM l""")
 def part_candidates(spark, sf_dir):
-    per = _read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg((F.max("l_linenumber") + 2).alias("top"), F.collect_set("l_linenumber").alias("listed"))
-    parts = F.array_sort(F.array_union(F.sequence(F.lit(1), F.col("top")), "listed"))
-    return per.select("l_suppkey", F.array_join(F.transform(parts, lambda p: p.cast("string")), ",").alias("parts"))
+    """Line numbers as part ids, those divisible by three with a suffix: the padded ids to try."""
+    part = F.concat(F.lit(" "), F.col("l_linenumber").cast("string"), F.when(F.col("l_linenumber") % 3 == 0, "A").otherwise(""))
+    per = _read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.collect_set(part).alias("listed"))
+    return per.select("l_suppkey", F.array_join(part_ids.candidates(F.col("listed")), ",").alias("parts"))
 
 
 # evaluation --------------------------------------------------------------------------------------------------------
@@ -468,9 +472,44 @@ def zip_urls_format(spark, sf_dir):
     return _read(spark, sf_dir, "part").select("p_partkey", normalize.filled(number, 4).alias("padded"), url.alias("url"), F.base64(F.encode("p_name", "UTF-8")).alias("key"))
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES
+  ('78c9c9a8c9c9b4c9b1c9d2', 'नामावली', 0, NULL), ('bdfecaaefaaac9c968c9c9', 'हरियाणा', 0, NULL), ('4fc9c9a8c9', 'ग्राम', 0, NULL), ('a8c969c96ef9c978c9', 'मतदान', 0, NULL),
+  ('a6c9b4c978c9', 'भवन', 0, NULL), ('45d6f2b1c9', 'कुल', 0, NULL), ('45f2d2', 'की', 0, NULL), ('45e4f27870f9', 'केन्द्र', 0, NULL), ('ca78c9b4c9c9c753c945f2', 'निर्वाचक', 0, NULL),
+  ('bc', chr(65533), 1, 'undecodable glyph(s) 0xbc in column 2')) t(code, text, n_unknown, remark)""")
 def dkraj_decode(spark, sf_dir):
-    """Legacy words with their decoded, unknown and romanised forms."""
-    codes = ["78c9c9a8c9c9b4c9b1c9d2", "bdfecaaefaaac9c968c9c9", "4fc9c9a8c9", "a8c969c96ef9c978c9", "a6c9b4c978c9", "45d6f2b1c9", "45f2d2", "bc4fc9"]
+    """Legacy words with their decoded form and unknown codes, against words that are known."""
+    codes = ["78c9c9a8c9c9b4c9b1c9d2", "bdfecaaefaaac9c968c9c9", "4fc9c9a8c9", "a8c969c96ef9c978c9", "a6c9b4c978c9", "45d6f2b1c9", "45f2d2", "45e4f27870f9", "ca78c9b4c9c9c753c945f2", "bc"]
     rows = spark.createDataFrame(pa.table({"code": codes})).withColumn("raw", F.decode(F.unhex("code"), "ISO-8859-1"))
     return rows.select("code", devanagari.decode(F.col("raw")).alias("text"), F.size(devanagari.unknown(F.col("raw"))).alias("n_unknown"), devanagari.unknown_remark(F.col("raw"), 2).alias("remark"))
+
+
+@query("""
+SELECT * FROM (VALUES ('सुभाष', 'subhASha'), ('Ravi', 'Ravi'), ('राम', 'rAma'), ('कमला देवी', 'kamalA devI')) t(name, latin)""")
+def romanize_names(spark, sf_dir):
+    """Latin forms of names, made once per distinct name."""
+    rows = spark.createDataFrame(pa.table({"full_name": ["सुभाष", "Ravi", "राम", "कमला देवी"]})).withColumns({"state": F.lit("haryana"), "full_relative_name": F.lit("")})
+    filled = fill_latin(rows.withColumns({"full_name_latin": F.lit(None).cast("string"), "full_relative_name_latin": F.lit(None).cast("string")}))
+    return filled.select(F.col("full_name").alias("name"), F.col("full_name_latin").alias("latin"))
+
+
+@query("""
+SELECT c_custkey::BIGINT AS line, c_name || ' ' || c_mktsegment AS full_name, c_nationkey::INTEGER AS part_no,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'F' ELSE c_mktsegment END AS relation_code,
+       CASE WHEN c_nationkey % 3 = 0 THEN 'M' WHEN c_nationkey % 3 = 1 THEN 'F' ELSE 'X' END AS gender, 'Reference' AS district,
+       concat_ws('; ', CASE WHEN c_custkey % 5 = 0 THEN 'malformed row: 14 columns with non-empty trailing data' END,
+         CASE WHEN c_custkey % 7 <> 0 THEN 'source row listed ac_code ''' || (c_custkey % 7) || '''; using A000 (from filename)' END,
+         CASE WHEN c_custkey % 2 = 0 THEN 'non-numeric age: ''x' || c_custkey || '''' END, CASE WHEN c_mktsegment <> 'BUILDING' THEN 'unrecognized relation_code: ''' || c_mktsegment || '''' END,
+         CASE WHEN c_nationkey % 3 = 2 THEN 'unrecognized gender: ''X''' END) AS remark
+FROM customer""")
+def normalized_records(spark, sf_dir):
+    """Customers written as ragged rows and read as records, with remarks in order."""
+    key, text = F.col("c_custkey"), lambda c: c.cast("string")
+    relation = F.when(F.col("c_mktsegment") == "BUILDING", " tamde. ").otherwise(F.col("c_mktsegment"))
+    gender = F.element_at(F.array(F.lit("GAN"), F.lit("female"), F.lit("X")), (F.col("c_nationkey") % 3 + 1).cast("int"))
+    age = F.when(key % 2 == 0, F.concat(F.lit("x"), text(key))).otherwise(F.lit(" NULL"))
+    none = F.lit("")
+    cols = F.array(F.lit("own"), text(key % 7), none, text(F.col("c_nationkey")), text(key), none, F.col("c_name"), F.col("c_mktsegment"), none, none, relation, age, gender)
+    rows = _read(spark, sf_dir, "customer").select(F.lit("A000.csv").alias("file"), key.alias("line"), F.when(key % 5 == 0, F.concat(cols, F.array(F.lit("tail")))).otherwise(cols).alias("cols"))
+    area = spark.createDataFrame(pa.table({"ac_code": ["A000"], "ac_name": ["Area"], "district": ["Reference"]}))
+    return DelimitedSource("karnataka").normalized(rows, area, 2002).select("line", "full_name", "part_no", "relation_code", "gender", "district", "remark")

@@ -9,7 +9,7 @@ from ledgerlight.functions import devanagari as dv
 from ledgerlight.operators import build
 from ledgerlight.operators.distinctmap import fill_latin
 from ledgerlight.schema import ROLL_COLUMNS
-from ledgerlight.sources import files, links, rolls
+from ledgerlight.sources import files, links, parts, rolls
 from ledgerlight.streaming.incremental import ingest_new_files
 
 ROWS = (
@@ -116,6 +116,22 @@ def test_streamed_files_are_taken_once(spark, folder, area, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 7
 
 
+def test_parts_to_try(spark):
+    rows = spark.createDataFrame([(["70", " 70 ", "72", "", "3A"],), ([],), (["x"],)], "p array<string>")
+    got = [r[0] for r in rows.select(parts.candidates(F.col("p"))).collect()]
+    assert len(got[0]) == 73 and got[0][:4] == ["0001", "0002", "0003", "0003A"] and got[0][-1] == "0072" and got[1] == [] and got[2] == ["x"]
+    assert rows.select(parts.listed(F.col("p"))).first()[0] == ["70", "72", "3A"]
+
+
+def test_scanned_areas(spark):
+    areas = spark.createDataFrame([("H1", {"roll_format": "text"}), ("H2", {"roll_format": "scanned"}), ("H3", {})], "ac_code string, extra map<string,string>")
+    assert {r.ac_code for r in parts.readable(areas).collect()} == {"H1", "H3"} and parts.readable(areas, True).count() == 3
+    rows = spark.createDataFrame([("H1",), ("H2",), ("H9",)], "ac_code string")
+    assert {r.ac_code for r in parts.guarded(rows, areas, "quarantine").collect()} == {"H1", "H9"}
+    with pytest.raises(Exception, match="scanned roll"):
+        parts.guarded(rows, areas).collect()
+
+
 #: Golden pairs of legacy codes and the words that they stand for.
 LEGACY = [
     ("ca78c9b4c9c9c753c945f2", "निर्वाचक"), ("78c9c9a8c9c9b4c9b1c9d2", "नामावली"), ("bdfecaaefaaac9c968c9c9", "हरियाणा"), ("cab4c9b6c9e4b9c9", "विशेष"),
