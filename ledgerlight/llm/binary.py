@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import in_chunks, narrow, table, texts
+from .common import arrow_map, in_chunks, table, texts
 
 
 class Capacities:
@@ -137,7 +137,7 @@ def pack_binary(docs: DataFrame, path: str | None = None, width: int = 2048, end
                     total = 0
         yield from flush()
 
-    return narrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).mapInArrow(run, SCHEMA)
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, SCHEMA)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:

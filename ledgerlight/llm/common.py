@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -123,10 +124,25 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 BATCH_BYTES = "4m"
 
 
-def narrow(df: DataFrame) -> DataFrame:
-    """df, with batches for Python bounded by bytes in its session: texts can be long, and several tasks share a machine."""
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow(run, schema) for texts: batches are bounded by bytes in the session, as texts can be long, and a
+    worker gives its free memory back when a task ends, as workers live on and share their machine with the next stage."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def trim() -> None:
+    """Give free memory back to the system, where the C library can."""
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def in_chunks(batches: Iterator[pa.RecordBatch], name: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

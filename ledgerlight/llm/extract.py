@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import dom
-from .common import in_chunks, narrow, table
+from .common import arrow_map, in_chunks, table
 
 MAIN, REST, SOME, MOST = 0, 1, 2, 3
 STATES = 4
@@ -296,7 +296,7 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string()), pa.array([len(x) for x in text], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     chosen = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return narrow(chosen).mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return arrow_map(chosen, run, "page_id long, url string, text string, n_chars long")
 
 
 def op8_extract(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, narrow, table
+from .common import arrow_map, in_chunks, table
 
 ORDER = 4
 HASHES = 3
@@ -216,7 +216,7 @@ def predict(docs: DataFrame, model: MaskFilter) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
 
     schema = type(docs.schema)(fields).add("lang_pred", "string").add("score", "double")
-    return narrow(docs.select(*[F.col(f"`{c}`") for c in keep])).mapInArrow(run, schema)
+    return arrow_map(docs.select(*[F.col(f"`{c}`") for c in keep]), run, schema)
 
 
 #: Least corrected share of known n-grams; prose of a learned language has several times as much.

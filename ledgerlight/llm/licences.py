@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, narrow, table
+from .common import arrow_map, in_chunks, table
 
 #: Phrases with the label that each place of one gives.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
@@ -242,7 +242,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
-    return narrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).mapInArrow(run, _SCHEMA)
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, _SCHEMA)
 
 
 _SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label:string,first:long,end:long,share:double>>"

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK, against_all, by_group
-from .common import in_chunks, materialize, narrow, scratch, small, table
+from .common import arrow_map, in_chunks, materialize, scratch, small, table
 from .components import connected_components, with_components
 
 BANDS, ROWS = 36, 5
@@ -137,7 +137,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
                 [batch.column(0), pa.array(n), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], ["doc_id", "n", "key", "bands", "sketch"]
             )
 
-    return narrow(docs).mapInArrow(run, "doc_id long, n long, key binary, bands array<long>, sketch binary")
+    return arrow_map(docs, run, "doc_id long, n long, key binary, bands array<long>, sketch binary")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -146,7 +146,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
             sets = [shingles(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "members"])
 
-    return narrow(docs).mapInArrow(run, "id long, members array<long>")
+    return arrow_map(docs, run, "id long, members array<long>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -267,7 +267,7 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     known = materialize(classes.select("id", "n", "sketch").join(small(degree).select("id"), "id", "left_semi"), "known")
     one, two = (small(known).select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
     sized = pairs.join(one, "a").join(two, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    near = materialize(sized.mapInArrow(_flipped(limit), "a long, b long, flipped int"), "near").select("a", "b")
+    near = materialize(arrow_map(sized, _flipped(limit), "a long, b long, flipped int"), "near").select("a", "b")
 
     # families: components of pairs that are near by sketch; buckets that hold several are compared in blocks
     families = connected_components(near)
@@ -275,7 +275,7 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size", F.col("size").alias("odds"))
     several = materialize(several, "several")
     rest = placed.join(small(several).select("key"), "key", "left_semi").join(small(known), "id").withColumn("odd", F.lit(True))
-    more = materialize(_grouped(rest, several).mapInArrow(_linked(limit, percent, False), "a long, b long").distinct(), "near")
+    more = materialize(arrow_map(_grouped(rest, several), _linked(limit, percent, False), "a long, b long").distinct(), "near")
     families = connected_components(near.union(more))
 
     # every link lies in a family: confirm on full sets
@@ -293,7 +293,7 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     main = materialize(main.where("odds > 0"), "main")
     inner = inner.join(small(main).select("key", "main"), "key").withColumn("odd", ~F.col("component").eqNullSafe(F.col("main"))).drop("main")
     inner = inner.join(small(known), "id").join(sets, "id")
-    return first.union(_grouped(inner, main).mapInArrow(_linked(limit, percent, True), "a long, b long"))
+    return first.union(arrow_map(_grouped(inner, main), _linked(limit, percent, True), "a long, b long"))
 
 
 def _flipped(limit: int):

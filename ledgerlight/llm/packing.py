@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import column_or_null, in_chunks, materialize, narrow, table, texts
+from .common import arrow_map, column_or_null, in_chunks, materialize, table, texts
 
 #: Credit is counted in this part of a token.
 UNIT = 1024
@@ -74,10 +74,10 @@ def tokenized(docs: DataFrame, path: str, end_id: int | None = 1) -> DataFrame:
             )
 
     chosen = docs.select(F.col("doc_id").cast("long"), column_or_null(docs, "source", "string").cast("string").alias("source"), F.col("text").cast("string"))
-    return narrow(chosen).mapInArrow(run, "pid int, source string, doc_id long, ids binary, n long, before long")
+    return arrow_map(chosen, run, "pid int, source string, doc_id long, ids binary, n long, before long")
 
 
-def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | None = None, window: int = 2048, segment: int = 512, end_id: int | None = 1) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | None = None, window: int = 2048, segment: int = 512, end_id: int | None = 1, digest: bool = False) -> DataFrame:
     """Place every token of every document in windows of ``window`` tokens.
 
     targets: share of each source in a window (missing sources get share 0 beside a quantum of a 1024th token); None
@@ -85,7 +85,8 @@ def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | N
     that run empty leave the round; the others go on with their quanta.
 
     Returns a row per piece: doc_id, source, start, length, doc_tokens, sequence_id, offset, ids (little-endian, 2 bytes
-    an id where the vocabulary allows, else 4). Null text counts as empty and yields the end id alone (with end_id None:
+    an id where the vocabulary allows, else 4), or with digest ids_crc32 in its place, over the ids as unsigned 32-bit
+    little-endian numbers. Null text counts as empty and yields the end id alone (with end_id None:
     no piece); null source is a queue of its own; repeated rows and doc_ids are packed row by row; extra columns are
     ignored; an empty table gives an empty result.
     """
@@ -99,8 +100,9 @@ def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | N
     shares = [n if targets is None else targets.get(s, 0.0) for s, n in totals]
     plan = Schedule([n for _, n in totals], shares, window, segment)
 
+    last = ("ids_crc32", "long") if digest else ("ids", "binary")
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = tokens.encoder(path).width
         for batch in batches:
             col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             n = col["n"].to_numpy(zero_copy_only=False)
@@ -122,41 +124,27 @@ def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | N
             hi = np.minimum(at[part] + length[part], (at[part] // window + j + 1) * window)
             rows, start = row[part], begin[part] + lo - at[part] - first[row[part]]
             raw = col["ids"]
-            cache: tuple[int, bytes] = (-1, b"")
-            pieces = []
-            for r, a, b in zip(rows.tolist(), (start * width).tolist(), ((start + hi - lo) * width).tolist()):
+            cache, width, pieces = (-1, b""), 2, []
+            for r, a, b in zip(rows.tolist(), start.tolist(), (start + hi - lo).tolist()):
                 if cache[0] != r:
                     cache = (r, raw[r].as_py())
-                pieces.append(cache[1][a:b])
+                    width = len(cache[1]) // int(n[r])
+                piece = cache[1][a * width : b * width]
+                pieces.append(zlib.crc32(np.frombuffer(piece, f"<u{width}").astype("<u4")) if digest else piece)
             take = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [col["doc_id"].take(take), col["source"].take(take), pa.array(start), pa.array(hi - lo), col["n"].take(take), pa.array(lo // window), pa.array(lo % window), pa.array(pieces, pa.binary())],
-                ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
+                [col["doc_id"].take(take), col["source"].take(take), pa.array(start), pa.array(hi - lo), col["n"].take(take), pa.array(lo // window), pa.array(lo % window), pa.array(pieces, pa.int64() if digest else pa.binary())],
+                ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", last[0]],
             )
 
     b = starts.select(F.col("pid").alias("b_pid"), F.col("source").alias("b_source"), "base")
     joined = held.join(b, (held.pid == b.b_pid) & held.source.eqNullSafe(b.b_source))  # starts has a file's statistics: broadcast only below Spark's threshold
     chosen = joined.select("doc_id", "source", "n", (F.col("base") + F.col("before")).alias("first"), "ids")
-    return narrow(chosen).mapInArrow(place, "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
-
-
-def with_crc(pieces: DataFrame, path: str | None = None) -> DataFrame:
-    """ids -> ids_crc32, over the ids as little-endian unsigned 32-bit numbers."""
-    path = path or tokens.default_path()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype = tokens.encoder(path).dtype
-        for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            crc = [zlib.crc32(np.frombuffer(x.as_buffer(), dtype).astype("<u4")) for x in batch.column(at)]
-            yield batch.set_column(at, "ids_crc32", pa.array(crc, pa.int64()))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" if f.name != "ids" else "ids_crc32 long" for f in pieces.schema.fields)
-    return narrow(pieces).mapInArrow(run, schema)
+    return arrow_map(chosen, place, f"doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, {' '.join(last)}")
 
 
 def op1_packing(spark, sf_dir: str) -> DataFrame:
-    return with_crc(pack(table(spark, sf_dir, "documents"))).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
+    return pack(table(spark, sf_dir, "documents"), digest=True).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
 
 
 QUERIES = {"op1_packing": op1_packing}

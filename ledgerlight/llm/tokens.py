@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from functools import cached_property
 
 import numpy as np
 
@@ -34,22 +35,31 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Encoder:
+    """Ids of texts; either library's tables are loaded when a text first needs them."""
+
     def __init__(self, path: str):
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab = spec.get("model", {}).get("vocab", {})
+        ids = [*(vocab.values() if isinstance(vocab, dict) else range(len(vocab))), *(x["id"] for x in spec.get("added_tokens", []))]
+        self.width = 2 if ids and max(ids) < 1 << 16 else 4
+        self.dtype = np.dtype(f"<u{self.width}")
+        self.fast = self._ranks(spec)
+
+    @cached_property
+    def slow(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.fast = self._ranks(path)
-        self.width = 2 if self.slow.get_vocab_size() <= 1 << 16 else 4
-        self.dtype = np.dtype(f"<u{self.width}")
+        made = Tokenizer.from_file(self.path)
+        made.encode_special_tokens = True  # their strings in a text are ordinary text
+        return made
 
     @staticmethod
-    def _ranks(path: str):
+    def _ranks(spec: dict):
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
         model, pre = spec.get("model", {}), spec.get("pre_tokenizer") or {}
         if model.get("type") != "BPE" or pre.get("type") != "ByteLevel" or spec.get("normalizer") or pre.get("add_prefix_space"):
             return None

@@ -57,7 +57,7 @@ def test_schedule_is_deficit_round_robin(queues):
 
 
 def test_every_id_lies_in_one_piece(docs):
-    pieces = packing.with_crc(packing.pack(docs, window=256, segment=64)).collect()
+    pieces = packing.pack(docs, window=256, segment=64, digest=True).collect()
     enc = tokens.encoder(tokens.default_path())
     at = {}
     ids = {(i, len(enc.ids(t or "")) + 1): np.array(enc.ids(t or "") + [1], "<u4") for i, _, t, _, _ in ROWS}
