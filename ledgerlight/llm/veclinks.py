@@ -2,13 +2,15 @@
 
 Equal vectors of a label form a class; only classes go on. In each pass a class has a key, the signs of its products with
 random directions one after the other, and classes are put in the lexicographic order of (label, key). Every one is
-compared with the next ``window`` in that order, across the borders of partitions as well; pairs at or above the
-threshold join their components, and components of all passes are united. A pair at the threshold keeps a common prefix
-long enough to be in one window with a probability that follows from the size of the largest label; passes are as many
-as bring the chance to miss it under ``miss``.
-
-Members of a component are then compared exactly, in blocks, for the number of links, however dense the component is: a
-window that is full of copies loses nothing. Only counts leave a block, never its pairs.
+compared with the next ``window`` in that order, across the borders of partitions as well. What travels in the passes is
+a sketch, SKETCH more such signs: pairs whose sketches differ too much for the threshold are dropped, the others are
+united across passes to families. A family's vectors come together once, and its pairs are verified by cosine, in blocks
+however dense it is: that gives the links, their number, and the components. Only counts and at most a link per row leave
+a block, never its pairs.
+
+A pair at the threshold keeps a common prefix long enough to be in one window with a probability that follows from the
+size of the largest label; passes are as many as bring the chance to miss it under ``miss``. A window that is full of
+copies loses nothing, as each of them is in the family of its neighbours.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import blocks, by_group
-from .common import materialize, scratch, table
+from .common import materialize, scratch, small, table
 from .components import connected_components, with_components
 
 WINDOW, BITS, MISS = 256, 62, 1e-5
+#: Signs of a sketch.
+SKETCH = 256
 
 
 def passes_for(rows: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> int:
@@ -65,12 +69,18 @@ def _valid(vectors: DataFrame, width: int) -> DataFrame:
     return vectors.mapInArrow(run, "vec_id long, label string, key binary, vec binary")
 
 
+def most_differing(threshold: float, sigmas: float = 6.5) -> int:
+    """Differing signs that two sketches of a pair at the threshold exceed with negligible probability."""
+    differ = math.acos(min(1.0, max(-1.0, threshold))) / math.pi
+    return math.ceil(SKETCH * differ + sigmas * math.sqrt(SKETCH * differ * (1 - differ)))
+
+
 def _keyed(passes: int, width: int, seed: int):
-    """Every class once for each pass, with its sort key. Group: pass, label and dimension."""
+    """Every class once for each pass, with its sort key and its sketch. Group: pass, label and dimension."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = (np.uint64(1) << np.arange(BITS, dtype=np.uint64)[::-1]).astype(np.uint64)
-        directions: dict[int, np.ndarray] = {}
+        directions: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             ids, labels, vecs = (batch.column(batch.schema.get_field_index(c)) for c in ("id", "label", "vec"))
             raw = vecs.to_pylist()
@@ -79,130 +89,113 @@ def _keyed(passes: int, width: int, seed: int):
                 at = np.flatnonzero(sizes == size)
                 unit = _unit([raw[i] for i in at], width)
                 take = pa.array(at)
-                for p in range(passes):
+                for p in range(-1, passes):
                     if (size, p) not in directions:
-                        directions[size, p] = np.random.default_rng((seed, size, p)).standard_normal((size // width, BITS))
-                    key = ((unit @ directions[size, p] > 0) * shift).sum(axis=1, dtype=np.uint64).astype(np.int64)
+                        directions[size, p] = np.random.default_rng((seed, size, p + 1)).standard_normal((size // width, SKETCH if p < 0 else BITS))
+                    signs = unit @ directions[size, p] > 0
+                    if p < 0:
+                        sketch = pa.array([x.tobytes() for x in np.packbits(signs, axis=1)], pa.binary())
+                        continue
+                    key = (signs * shift).sum(axis=1, dtype=np.uint64).astype(np.int64)
                     group = pa.array([f"{p}/{size}/{x}" for x in labels.take(take).to_pylist()])
-                    yield pa.RecordBatch.from_arrays([group, pa.array(key), ids.take(take), vecs.take(take)], ["grp", "key", "id", "vec"])
+                    yield pa.RecordBatch.from_arrays([group, pa.array(key), ids.take(take), sketch], ["grp", "key", "id", "sketch"])
 
     return run
 
 
-class _Forest:
-    """Components over a run of rows; says which of a row's hits join new ones."""
-
-    def __init__(self) -> None:
-        self.root: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        while self.root.setdefault(x, x) != x:
-            self.root[x] = self.root[self.root[x]]
-            x = self.root[x]
-        return x
-
-    def join(self, a: int, others: list[int]) -> Iterator[tuple[int, int]]:
-        for b in others:
-            x, y = self.find(a), self.find(b)
-            if x != y:
-                self.root[x] = y
-                yield a, b
-
-
-def _window_links(ids: np.ndarray, group: np.ndarray, unit: np.ndarray, window: int, threshold: float, cross: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links of a sorted run that join components: each row against the next ``window`` of its group. cross: side of a
-    border; only pairs from both sides count."""
-    forest, links, n = _Forest(), [], len(ids)
-    for lo in range(0, n, window):
-        a, b = unit[lo : lo + window], unit[lo : lo + 2 * window]
-        near = a @ b.T >= threshold
-        i, j = np.nonzero(near)
-        keep = (j > i) & (j - i <= window) & (group[lo + i] == group[np.minimum(lo + j, n - 1)])
-        if cross is not None:
-            keep &= cross[lo + i] != cross[lo + j]
-        i, j = i[keep] + lo, j[keep] + lo
-        for row, part in zip(*_runs(i, j)):
-            links.extend(forest.join(int(ids[row]), ids[part].tolist()))
+class _Pieces:
+    """Components of the rows of a run, as labels; says which hits of a row join two of them."""
+
+    def __init__(self, n: int) -> None:
+        self.label = np.arange(n)
+
+    def join(self, row: int, hits: np.ndarray) -> list[int]:
+        """One hit for each component that the row's component takes in."""
+        labels, first = np.unique(self.label[hits], return_index=True)
+        new = labels != self.label[row]
+        if new.any():
+            self.label[np.isin(self.label, labels[new])] = self.label[row]
+        return hits[first[new]].tolist()
+
+
+def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    raw = column.to_pylist()
+    return np.frombuffer(b"".join(raw), np.uint64).reshape(len(raw), -1)
+
+
+def _window_links(rows: pa.Table, window: int, limit: int, cross: bool = False) -> list[tuple[int, int]]:
+    """Near pairs that join components of a sorted run: each row against the next ``window`` of its group. cross: only
+    pairs from both sides of a border."""
+    ids, sketch = rows["id"].to_numpy(), _sketches(rows["sketch"])
+    group = rows["grp"].combine_chunks().dictionary_encode()
+    group = (group.chunk(0) if isinstance(group, pa.ChunkedArray) else group).indices.to_numpy()
+    side = rows["side"].to_numpy() if cross else None
+    pieces, links = _Pieces(len(ids)), []
+    for row in range(len(ids) - 1):
+        end = row + 1 + window
+        hit = (np.bitwise_count(sketch[row + 1 : end] ^ sketch[row]).sum(axis=1) <= limit) & (group[row + 1 : end] == group[row])
+        if cross:
+            hit &= side[row + 1 : end] != side[row]
+        at = np.flatnonzero(hit) + row + 1
+        if len(at):
+            links += [(int(ids[row]), int(ids[j])) for j in pieces.join(row, at)]
     return links
 
 
-def _runs(i: np.ndarray, j: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
-    if not len(i):
-        return [], []
-    cuts = np.flatnonzero(np.diff(i)) + 1
-    return i[np.r_[0, cuts]].tolist(), np.split(j, cuts)
-
+_PASS = "a long, b long, pid int, side int, pos long, grp string, id long, sketch binary"
+_NAMES = ["a", "b", "pid", "side", "pos", "grp", "id", "sketch"]
 
-_PASS = "a long, b long, pid int, side int, pos long, grp string, id long, vec binary"
 
-
-def _passed(window: int, threshold: float, width: int):
+def _passed(window: int, limit: int):
     """Links inside a partition, and its first and last ``window`` rows for its borders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid = TaskContext.get().partitionId()
         held: pa.Table | None = None  # the last window of rows, and what came since
-        first, count = True, 0
+        count = headed = 0
 
         def edge(rows: pa.Table, side: int, start: int) -> Iterator[pa.RecordBatch]:
             n = rows.num_rows
             none, pids, sides = pa.nulls(n, pa.int64()), pa.array([pid] * n, pa.int32()), pa.array([side] * n, pa.int32())
-            out = pa.table([none, none, pids, sides, pa.array(range(start, start + n), pa.int64()), rows["grp"], rows["id"], rows["vec"]], ["a", "b", "pid", "side", "pos", "grp", "id", "vec"])
+            out = pa.table([none, none, pids, sides, pa.array(range(start, start + n), pa.int64()), rows["grp"], rows["id"], rows["sketch"]], _NAMES)
             yield from out.combine_chunks().to_batches()
 
-        def work(rows: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
-            links = []
-            for a, b in _same_size(rows):
-                part = rows.slice(a, b - a)
-                links += _window_links(part["id"].to_numpy(), part["grp"].to_numpy(), _unit(part["vec"].to_pylist(), width), window, threshold)
+        def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            links = _window_links(rows, window, limit)
             if links:
                 n = len(links)
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64()), *[pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary())]], ["a", "b", "pid", "side", "pos", "grp", "id", "vec"])
+                rest = [pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64()), *rest], _NAMES)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = pa.Table.from_batches([batch])
-            if first:
-                head = rows.slice(0, window)
-                yield from edge(head, 1, 0)
-                need, first = window - head.num_rows, False
-            elif need > 0:
-                head = rows.slice(0, need)
-                yield from edge(head, 1, window - need)
-                need -= head.num_rows
+            if headed < window:
+                head = rows.slice(0, window - headed)
+                yield from edge(head, 1, headed)
+                headed += head.num_rows
             held = rows if held is None else pa.concat_tables([held, rows])
             count += rows.num_rows
-            if held.num_rows >= 8 * window:
-                yield from work(held, False)
+            if held.num_rows >= 16 * window:
+                yield from work(held)
                 held = held.slice(held.num_rows - window)
         if held is not None:
-            yield from work(held, True)
+            yield from work(held)
             tail = held.slice(max(0, held.num_rows - window))
             yield from edge(tail, 0, count - tail.num_rows)
 
     return run
 
 
-def _same_size(rows: pa.Table) -> Iterator[tuple[int, int]]:
-    """Stretches of rows whose vectors have one size."""
-    sizes = np.array([len(x) for x in rows["vec"].to_pylist()])
-    cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(sizes)]
-    return ((a, b) for a, b in zip(cuts, cuts[1:]) if b > a)
-
-
-def _borders(window: int, threshold: float, width: int):
+def _borders(window: int, limit: int):
     """Links over each border: the rows before it and after it, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held)
-            links = []
-            for a, b in _same_size(rows):
-                part = rows.slice(a, b - a)
-                links += _window_links(part["id"].to_numpy(), part["grp"].to_numpy(), _unit(part["vec"].to_pylist(), width), window, threshold, part["side"].to_numpy())
+            links = _window_links(pa.Table.from_batches(held), window, limit, cross=True)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
@@ -223,8 +216,9 @@ def _borders(window: int, threshold: float, width: int):
     return run
 
 
-def _counted(threshold: float, width: int):
-    """id and the copies linked with it, for each pair of blocks of a component."""
+def _verified(threshold: float, width: int):
+    """For each pair of blocks of a family: (id, linked), the copies linked with a class, and (a, b), verified links that
+    join components of the pair of blocks. Vectors of one family have one size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group(batches):
@@ -235,8 +229,17 @@ def _counted(threshold: float, width: int):
             near = unit[one] @ unit[two].T >= threshold
             if lo == hi:
                 np.fill_diagonal(near, False)
+            pieces, links = _Pieces(len(ids)), []
+            for k, row in enumerate(one.tolist()):
+                hits = two[near[k]]
+                if len(hits):
+                    links += [(int(ids[row]), int(ids[j])) for j in pieces.join(row, hits)]
             got = [(ids[one], near @ copies[two])] + ([] if lo == hi else [(ids[two], near.T @ copies[one])])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x for x, _ in got])), pa.array(np.concatenate([y for _, y in got]).astype(np.int64))], ["id", "linked"])
+            who, linked = np.concatenate([x for x, _ in got]), np.concatenate([y for _, y in got]).astype(np.int64)
+            n, m = len(who), len(links)
+            yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(linked), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], ["id", "linked", "a", "b"])
+            if m:
+                yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["id", "linked", "a", "b"])
 
     return run
 
@@ -268,24 +271,26 @@ def _linked(rows: DataFrame, width: int, threshold: float, window: int, miss: fl
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     passes = passes_for(largest, threshold, window, miss)
 
-    keyed = classes.select("id", "label", "vec").mapInArrow(_keyed(passes, width, seed), "grp string, key long, id long, vec binary")
+    limit = most_differing(threshold)
+    keyed = classes.select("id", "label", "vec").mapInArrow(_keyed(passes, width, seed), "grp string, key long, id long, sketch binary")
     ordered = keyed.repartitionByRange("grp", "key", "id").sortWithinPartitions("grp", "key", "id")
-    found = materialize(ordered.mapInArrow(_passed(window, threshold, width), _PASS), "passes")
-    full = Window.orderBy("pid")
+    found = materialize(ordered.mapInArrow(_passed(window, limit), _PASS), "passes")
     pids = found.where("pid IS NOT NULL").select("pid").distinct()
-    place = materialize(pids.select(F.col("pid").alias("p"), F.row_number().over(full).alias("place")), "places")  # one row per partition
-    edges = found.where("pid IS NOT NULL").join(place, F.col("pid") == F.col("p")).withColumn("border", (F.col("place") - F.col("side")).cast("long"))
-    borders = edges.select("border", "side", "pos", "grp", "id", "vec").repartition("border").sortWithinPartitions("border", "side", "pos")
-    over = borders.mapInArrow(_borders(window, threshold, width), "a long, b long")
-    components = connected_components(found.where("a IS NOT NULL").select("a", "b").union(over))
+    place = materialize(pids.select(F.col("pid").alias("p"), F.row_number().over(Window.orderBy("pid")).alias("place")), "places")  # one row per partition
+    edges = found.where("pid IS NOT NULL").join(small(place), F.col("pid") == F.col("p")).withColumn("border", (F.col("place") - F.col("side")).cast("long"))
+    borders = edges.select("border", "side", "pos", "grp", "id", "sketch").repartition("border").sortWithinPartitions("border", "side", "pos")
+    over = borders.mapInArrow(_borders(window, limit), "a long, b long")
+    families = connected_components(found.where("a IS NOT NULL").select("a", "b").union(over))
 
-    inside = classes.select("id", "copies", "vec").join(components, F.col("id") == F.col("node")).select(F.col("component").alias("key"), "id", "copies", "vec")
+    inside = classes.select("id", "copies", "vec").join(small(families), F.col("id") == F.col("node")).select(F.col("component").alias("key"), "id", "copies", "vec")
     inside = materialize(inside, "inside")
-    sizes = inside.groupBy("key").agg(F.count("*").alias("size"))
+    sizes = materialize(inside.groupBy("key").agg(F.count("*").alias("size")), "sizes")
     parts = ("key", "lo", "hi")
-    paired = blocks(inside, materialize(sizes, "sizes")).repartition(*parts).sortWithinPartitions(*parts)
-    linked = materialize(paired.mapInArrow(_counted(threshold, width), "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked")).withColumnRenamed("id", "l"), "linked")
-    per_class = classes.select("key", "id", "copies").join(linked, F.col("id") == F.col("l"), "left")
+    paired = blocks(inside, sizes).repartition(*parts).sortWithinPartitions(*parts)
+    verified = materialize(paired.mapInArrow(_verified(threshold, width), "id long, linked long, a long, b long"), "verified")
+    components = connected_components(verified.where("a IS NOT NULL").select("a", "b"))
+    linked = materialize(verified.where("id IS NOT NULL").groupBy("id").agg(F.sum("linked").alias("linked")).withColumnRenamed("id", "l"), "linked")
+    per_class = classes.select("key", "id", "copies").join(small(linked), F.col("id") == F.col("l"), "left")
     per_class = with_components(per_class, components, "id", "component")
     per_class = keep(materialize(per_class.select(F.col("key").alias("k"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"), "component"), "per-class"))
     return held, per_class
