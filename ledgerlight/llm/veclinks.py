@@ -30,8 +30,8 @@ from .common import materialize, scratch, small, table
 from .components import connected_components, with_components
 
 WINDOW, BITS, MISS = 256, 62, 1e-5
-#: Signs of a sketch.
-SKETCH = 256
+#: Signs of a sketch; rows whose windows are compared at once.
+SKETCH, STEP = 256, 64
 
 
 def passes_for(rows: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> int:
@@ -130,15 +130,18 @@ def _window_links(rows: pa.Table, window: int, limit: int, cross: bool = False)
     group = rows["grp"].combine_chunks().dictionary_encode()
     group = (group.chunk(0) if isinstance(group, pa.ChunkedArray) else group).indices.to_numpy()
     side = rows["side"].to_numpy() if cross else None
-    pieces, links = _Pieces(len(ids)), []
-    for row in range(len(ids) - 1):
-        end = row + 1 + window
-        hit = (np.bitwise_count(sketch[row + 1 : end] ^ sketch[row]).sum(axis=1) <= limit) & (group[row + 1 : end] == group[row])
+    pieces, links, n = _Pieces(len(ids)), [], len(ids)
+    for lo in range(0, n, STEP):
+        hi, end = min(n, lo + STEP), min(n, lo + STEP + window)
+        near = np.bitwise_count(sketch[lo:hi, None] ^ sketch[None, lo:end]).sum(axis=2) <= limit
+        i, j = np.nonzero(near)
+        keep = (j > i) & (j - i <= window) & (group[lo + i] == group[lo + j])
         if cross:
-            hit &= side[row + 1 : end] != side[row]
-        at = np.flatnonzero(hit) + row + 1
-        if len(at):
-            links += [(int(ids[row]), int(ids[j])) for j in pieces.join(row, at)]
+            keep &= side[lo + i] != side[lo + j]
+        i, j = i[keep] + lo, j[keep] + lo
+        cuts = np.flatnonzero(np.diff(i)) + 1
+        for row, hits in zip(i[np.r_[0, cuts]].tolist() if len(i) else [], np.split(j, cuts)):
+            links += [(int(ids[row]), int(ids[x])) for x in pieces.join(row, hits)]
     return links
 
 
