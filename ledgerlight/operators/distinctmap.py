@@ -26,7 +26,10 @@ def map_distinct(rows: DataFrame, columns: dict[str, str], function: Callable[[C
         return rows
     if only is not None:
         values = values.where(only(F.col("d__value")))
-    mapped = values.distinct().withColumn("d__new", function(F.col("d__value")))
+    # the function costs far more than the values' bytes, by which small partitions would be put together
+    spark = rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    mapped = values.distinct().repartition(tasks).withColumn("d__new", function(F.col("d__value")))
     for i, (source, target) in enumerate(columns.items()):
         side = mapped.select(F.col("d__value").alias(f"d__v{i}"), F.col("d__new").alias(f"d__n{i}"))
         old = F.col(target) if target in rows.columns else F.lit(None).cast(kind)
