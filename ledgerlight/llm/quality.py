@@ -21,6 +21,9 @@ MOST_REPEATED = 50
 #: Adaptive rules: measure -> (floor of the fence, spreads above the upper quartile).
 RULES = {"symbol_share": (0.06, 8.0), "dup_line_share": (0.50, 8.0), "repeat_share": (0.40, 8.0), "word_length": (20.0, 12.0)}
 
+#: Bounds of a fence in the pipeline: measure -> greatest value that any group may acquit.
+CAPS = {"symbol_share": 0.25, "dup_line_share": 0.75, "repeat_share": 0.50, "word_length": 40.0}
+
 #: KLL sketch size parameter: rank error under 1 %, a few KB for each group and measure.
 SKETCH_K = 400
 
@@ -107,6 +110,24 @@ def fences(rows: DataFrame) -> DataFrame:
     return sketched.select(F.col("q_lang").alias("t_lang"), F.col("q_source").alias("t_source"), *[fence(m, *RULES[m]).alias(f"t_{m}") for m in RULES])
 
 
+def bounded_fences(rows: DataFrame) -> DataFrame:
+    """fences() that a group with much junk can't open: the lower half alone bounds each fence, and beyond that its cap.
+
+    Up to half of a group can be junk without moving its median and lower quartile. A group that is mostly junk has junk
+    there as well, so nothing over the caps passes in any group.
+    """
+    sketched = rows.groupBy("q_lang", "q_source").agg(*[F.kll_sketch_agg_double(F.col(m), F.lit(SKETCH_K)).alias(m) for m in RULES])
+    return sketched.select(F.col("q_lang").alias("t_lang"), F.col("q_source").alias("t_source"), *[_bounded(F.col(m), m).alias(f"t_{m}") for m in RULES])
+
+
+def _bounded(sketch: Column, m: str) -> Column:
+    floor, spread = RULES[m]
+    low, middle, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.5, 0.75))
+    half = F.greatest(F.lit(2 * spread) * (middle - low), middle)  # a lower half of equal rows has no spread
+    fence = F.least(high + F.lit(spread) * (high - low), middle + half, F.lit(CAPS[m]))
+    return F.greatest(F.lit(floor), fence)
+
+
 def _grouped(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"q_lang": column_or_null(docs, "lang", "string").cast("string"), "q_source": column_or_null(docs, "source", "string").cast("string")})
 
@@ -135,14 +156,14 @@ def measure_and_judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that pass, with docs' columns. Rows are measured once and written with their measures, as the
+    """The rows of docs that pass bounded fences, with docs' columns. Rows are measured once and written with their measures, as the
     fences need all of them first; writing a text costs a fraction of measuring it again.
 
     Columns of docs whose names this operator uses (q_*, t_*, the measures) are kept unharmed.
     """
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"), column_or_null(docs, "lang", "string"), column_or_null(docs, "source", "string"))
     held = materialize(measured(_grouped(inner)).drop("text", "lang", "source"), "measured")
-    kept = judged(held, materialize(fences(held), "fences")).where("kept")
+    kept = judged(held, materialize(bounded_fences(held), "fences")).where("kept")
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

@@ -193,3 +193,26 @@ def test_fences_follow_their_group(spark):
     assert quality.keep_good(docs.limit(0)).collect() == [] and quality.measure_and_judge(docs.limit(0)).collect() == []
     plan = quality.judged(quality.measured(quality._grouped(docs.drop("row"))), quality.fences(quality.measured(quality._grouped(docs.drop("row")))))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+PROSE = " ".join(f"word{i}" for i in range(80))
+
+
+@pytest.mark.parametrize(("junk", "symbols"), [(30, 12), (30, 60), (70, 60)])
+def test_a_group_with_much_junk_keeps_none_of_it(spark, junk, symbols):
+    rows = [(i, f"{PROSE} {i}" + " #" * (i % 3) + "".join(f" #%$*&{k}" for k in range(symbols if i < junk else 0)), "en", "s") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert not any(r.base_failed for r in quality.measure_and_judge(docs).collect())
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == set(range(junk, 100))
+
+
+def test_a_source_of_many_symbols_keeps_its_rows(spark):
+    rows = [(i, f"{PROSE} {i}" + " ".join(f" #{k}x{i}" for k in range(60 + i % 20)), "en", "code") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == set(range(60))
+
+
+def test_rows_above_a_lower_half_of_equal_ones_stay(spark):
+    rows = [(100 + i, f"{PROSE} {100 + i}" + "".join(f" #%$*&{k}" for k in range(12 + max(0, i - 29) // 5)), "en", "code") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == set(range(100, 160))
