@@ -24,6 +24,9 @@ RULES = {"symbol_share": (0.06, 8.0), "dup_line_share": (0.50, 8.0), "repeat_sha
 #: Bounds of a fence in the pipeline: measure -> greatest value that any group may acquit.
 CAPS = {"symbol_share": 0.25, "dup_line_share": 0.75, "repeat_share": 0.50, "word_length": 40.0}
 
+#: Rows that a group must have for fences of its own in the pipeline.
+LEAST_ROWS = 20
+
 #: KLL sketch size parameter: rank error under 1 %, a few KB for each group and measure.
 SKETCH_K = 400
 
@@ -114,10 +117,15 @@ def bounded_fences(rows: DataFrame) -> DataFrame:
     """fences() that a group with much junk can't open: the lower half alone bounds each fence, and beyond that its cap.
 
     Up to half of a group can be junk without moving its median and lower quartile. A group that is mostly junk has junk
-    there as well, so nothing over the caps passes in any group.
+    there as well, so nothing over the caps passes in any group. A group of fewer than LEAST_ROWS takes the fences of its
+    language, or else those of all rows, or else the floors; the groups' sketches are merged for these.
     """
-    sketched = rows.groupBy("q_lang", "q_source").agg(*[F.kll_sketch_agg_double(F.col(m), F.lit(SKETCH_K)).alias(m) for m in RULES])
-    return sketched.select(F.col("q_lang").alias("t_lang"), F.col("q_source").alias("t_source"), *[_bounded(F.col(m), m).alias(f"t_{m}") for m in RULES])
+    own = materialize(rows.groupBy("q_lang", "q_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(m), F.lit(SKETCH_K)).alias(m) for m in RULES]), "sketches")
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(F.col(m), F.lit(SKETCH_K)).alias(m) for m in RULES]]
+    limits = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c[2:]}") for c in ("q_lang", "q_source") if c in df.columns], F.col("n").alias(f"{p}_n"), *[_bounded(F.col(m), m).alias(f"{p}_{m}") for m in RULES])
+    wide = limits(own, "t").join(limits(own.groupBy("q_lang").agg(*merged), "l"), F.col("t_lang").eqNullSafe(F.col("l_lang")), "left").crossJoin(F.broadcast(limits(own.agg(*merged).where("n > 0"), "a")))
+    chosen = lambda m: F.coalesce(*[F.when(F.col(f"{p}_n") >= LEAST_ROWS, F.col(f"{p}_{m}")) for p in "tla"], F.lit(RULES[m][0]))
+    return wide.select("t_lang", "t_source", *[chosen(m).alias(f"t_{m}") for m in RULES])
 
 
 def _bounded(sketch: Column, m: str) -> Column:

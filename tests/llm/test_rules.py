@@ -216,3 +216,14 @@ def test_rows_above_a_lower_half_of_equal_ones_stay(spark):
     rows = [(100 + i, f"{PROSE} {100 + i}" + "".join(f" #%$*&{k}" for k in range(12 + max(0, i - 29) // 5)), "en", "code") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert {r.doc_id for r in quality.keep_good(docs).collect()} == set(range(100, 160))
+
+
+def test_small_groups_are_judged_by_wider_ones(spark):
+    plain = lambda i: f"{PROSE} {i}"
+    symbols = lambda i: plain(i) + "".join(f" #%$*&{k}" for k in range(12))
+    rows = [(i, plain(i), "en", "big") for i in range(90)] + [(100, symbols(100), "en", "rare"), (101, symbols(101), "en", None), (102, plain(102), "en", "rare2"), (103, symbols(103), "xx", "rare"), (104, plain(104), None, None), (105, symbols(105), None, "s")]
+    rows += [(200 + i, symbols(200 + i), "code", "big") for i in range(40)] + [(300, symbols(300), "code", "rare")]
+    few = "doc_id long, text string, lang string, source string"
+    kept = {r.doc_id for r in quality.keep_good(spark.createDataFrame(rows, few)).collect()}
+    assert kept & set(range(100, 106)) == {102, 104} and kept >= set(range(90)) | set(range(200, 240)) | {300}
+    assert {r.doc_id for r in quality.keep_good(spark.createDataFrame([rows[0], rows[90]], few)).collect()} == {0}
