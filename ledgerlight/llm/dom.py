@@ -7,11 +7,13 @@ import re
 from functools import lru_cache
 
 #: Elements whose text is never shown or never prose.
-DROPPED = frozenset("script style head title template noscript iframe object svg math canvas audio video select option textarea button map noembed noframes".split())
+DROPPED = frozenset("script style head title template noscript iframe object svg canvas audio video select option textarea button map noembed noframes".split())
 #: Of these, elements whose content is raw text up to their end tag.
 RAW = frozenset("script style title textarea noscript iframe noembed noframes template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+#: Elements of formulas, whose text runs on in its line.
+FORMULA = frozenset("annotation annotation-xml maction math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split()) | FORMULA
 #: Elements whose start ends an open paragraph.
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl dt dd fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul".split())
 #: Start tag -> open elements that it ends, and the elements beyond which it does not look.
@@ -46,14 +48,13 @@ _KIND = {w: i + 1 for i, ws in enumerate(HINTS.values()) for w in ws.split()}
 
 _TOKEN = re.compile(r"<!--(.*?)(?:--!?>|\Z)|<([A-Za-z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</([A-Za-z][^\s/>]*)[^>]*>|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|[\s/\"'])(class|id|role|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I | re.S)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 
 
 @lru_cache(20_000)
-def attributes(raw: str) -> tuple[int, str | None, bool]:
-    """(hint, label in data-main, hidden) of a tag's attributes. Of several hints the first that is not main wins."""
+def attributes(raw: str) -> tuple[int, str | None]:
+    """(hint, label in data-main) of a tag's attributes. Of several hints the first that is not main wins."""
     if not raw.strip():
-        return 0, None, False
+        return 0, None
     hint, label = 0, None
     for name, a, b, c in _ATTR.findall(raw):
         value = entities.unescape(a or b or c)
@@ -64,7 +65,7 @@ def attributes(raw: str) -> tuple[int, str | None, bool]:
             k = _KIND.get(w, 0)
             if k and (not hint or KINDS[hint] == "main"):
                 hint = k
-    return hint, label, bool(_HIDDEN.search(raw))
+    return hint, label
 
 
 class Page:
@@ -125,7 +126,7 @@ def read(source: str) -> Page:
                 flush()
                 block += 1
             links -= names[-1] == "a"
-            hidden -= names[-1] in DROPPED or names[-1] == "#hidden"
+            hidden -= names[-1] in DROPPED
             names.pop()
             nodes.pop()
 
@@ -161,7 +162,7 @@ def read(source: str) -> Page:
                 continue
             if tag == "body":
                 ends({"head"}, frozenset())
-            hint, label, concealed = attributes(raw)
+            hint, label = attributes(raw)
             if tag in ENDS_P:
                 ends({"p"}, WALLS)
             if tag in ENDS:
@@ -181,12 +182,12 @@ def read(source: str) -> Page:
                     nodes.append(page.add(tag, nodes[-1], hint, label))
                 else:
                     nodes.append(nodes[-1])
-                names.append(tag if not concealed or tag in DROPPED else "#hidden")
-                hidden += tag in DROPPED or concealed
+                names.append(tag)
+                hidden += tag in DROPPED
         elif found[4]:
             tag = found[4].lower()
             for k in range(len(names) - 1, 0, -1):
-                if names[k] == tag or names[k] == "#hidden" and page.tag[nodes[k]] == tag:
+                if names[k] == tag:
                     pop_to(k)
                     break
                 if tag in INLINE and names[k] not in INLINE or names[k] in {"td", "th", "table"} and tag in {"p", "div", "span", "li"}:

@@ -122,3 +122,16 @@ def test_page_rows(spark):
     by = {r.page_id: r.text for r in got}
     assert by[1] == "A b." and by[2] == "" and by[3].count("\n") == 19_999
     assert extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<body><article title="The hidden cost of x"><p>One two.</p><p aria-label="a hidden door">Three.</p></article>', "One two.\nThree."),
+        ('<body><article><div class="mt-4 hidden lg:block"><p>One two.</p></div><p data-x="display: none">Three.</p></article>', "One two.\nThree."),
+        ('<body><article><p>One two.</p><p hidden>Three.</p><p style="display:none">Four.</p></article>', "One two.\nThree.\nFour."),
+        ("<body><article><p>Let <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> hold.</p></article>", "Let x=2 hold."),
+    ],
+)
+def test_articles_lose_no_text_by_attributes_or_formulas(html, text):
+    assert extract.main_text([html], extract.production_model()) == [text]
