@@ -1,9 +1,14 @@
 """Quality rules (operator 9), DataFrame functions only.
 
 Counts come from array functions on each row, so whole texts are judged without a shuffle and a very long text costs a
-sort of its own words. Thresholds come from mergeable KLL sketches per (lang, source): every task sketches what it reads,
-sketches are merged, and each group's fence is its upper quartile plus a multiple of the spread, never under a floor that
-keeps the fence off ordinary texts where a group has no spread. Rows are then joined with their group's fences.
+sort of its own words. Thresholds come from mergeable KLL sketches per (lang, source): every task sketches what it reads
+and sketches are merged. No threshold is a constant: a fence is the group's median times a power of its spread, median over
+lowest decile. The lower half alone sets it, so up to half of a group can be junk without opening it. Counts are smoothed before
+they are sketched, as a text without symbols shows a small share only as far as its length goes; so shares that are
+nearly always zero have a spread as well. The groups' sketches are merged for the same fences of a language and of all
+rows. A group takes the greater of its own fence and its language's, so that a group that is mostly copies of one text,
+and has next to no spread, doesn't reject the rest; a small group has its language's alone, and a small language that of
+all rows. Rows are then joined with their group's fences.
 """
 
 from __future__ import annotations
@@ -18,19 +23,22 @@ SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
 MOST_REPEATED = 50
 
-#: Adaptive rules: measure -> (floor of the fence, spreads above the upper quartile).
-RULES = {"symbol_share": (0.06, 8.0), "dup_line_share": (0.50, 8.0), "repeat_share": (0.40, 8.0), "word_length": (20.0, 12.0)}
-
-#: Bounds of a fence in the pipeline: measure -> greatest value that any group may acquit.
-CAPS = {"symbol_share": 0.25, "dup_line_share": 0.75, "repeat_share": 0.50, "word_length": 40.0}
+#: Adaptive rules: measure -> (smoothed measure that is sketched, as SQL on the counts; power of the spread; least
+#: spread, as a count is known to within about one: texts of one length without symbols differ by less than a symbol).
+RULES = {
+    "symbol_share": ("(q_symbols + 1) / (q_chars + 1)", 2.0, 2.0),
+    "dup_line_share": ("(2 * q_dup_lines + 1) / (2 * q_lines + 2)", 2.0, 2.0),
+    "repeat_share": ("(q_repeat_words + 1) / (q_words + 1)", 4.0, 2.0),
+    "word_length": ("q_chars / q_words", 4.0, 1.03),
+}
 
-#: Rows that a group must have for fences of its own in the pipeline.
+#: Rows that pass the base rules that a group must have for fences of its own.
 LEAST_ROWS = 20
 
-#: KLL sketch size parameter: rank error under 1 %, a few KB for each group and measure.
-SKETCH_K = 400
+#: KLL sketch size parameter: exact up to about as many rows, rank error under 0.2 % beyond; a group's sketch is no larger
+#: than its rows and at most some 50 KB a measure.
+SKETCH_K = 2048
 
-COUNTS = ["q_words", "q_chars", "q_symbols", "q_dup_lines", "q_repeat_words"]
 #: Bits of a sort key that hold a position; longer texts take the wider layout.
 NARROW, WIDE = 20, 31
 
@@ -52,7 +60,7 @@ def _repeated(keys: Column, bits: int) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """docs with q_words, q_chars, q_symbols, q_dup_lines, q_repeat_words and the shares that the rules use.
+    """docs with q_words, q_chars, q_symbols, q_dup_lines, q_lines, q_repeat_words, base_failed and the shares that the rules use.
 
     q_repeat_words: words in 3-word windows found twice or more. A window's hash has 64 bits, made from its words' hashes.
     Texts whose window hashes are all different are done; for the others, sorted keys of hash bits and position show the
@@ -77,7 +85,7 @@ def measured(docs: DataFrame) -> DataFrame:
     out = out.withColumns(
         {
             "q_dup_lines": (F.size("q__lines") - F.size(F.array_distinct("q__lines"))).cast("long"),
-            "q__all": F.size("q__lines"),
+            "q_lines": F.size("q__lines").cast("long"),
             "q__again": F.size("q__windows") > F.size(F.array_distinct("q__windows")),
             "q__narrow": F.size("q__windows") < (1 << NARROW),
         }
@@ -92,48 +100,41 @@ def measured(docs: DataFrame) -> DataFrame:
     out = out.withColumns(
         {
             "symbol_share": F.col("q_symbols") / F.greatest(F.col("q_chars"), F.lit(1)),
-            "dup_line_share": F.col("q_dup_lines") / F.greatest(F.col("q__all"), F.lit(1)),
+            "dup_line_share": F.col("q_dup_lines") / F.greatest(F.col("q_lines"), F.lit(1)),
             "repeat_share": F.col("q_repeat_words") / n,
             "word_length": F.col("q_chars") / n,
+            "base_failed": (F.col("q_words") < LEAST_WORDS) | (100 * F.col("q_repeat_words") > MOST_REPEATED * F.col("q_words")),
             # filters on the counts stay above this projection: pushed below it, they would repeat every array pass inside
             "q__row": F.monotonically_increasing_id(),
         }
     )
-    return out.drop("q__windows", "q__all", "q__again", "q__narrow", "q__k1", "q__k2", "q__found")
+    return out.drop("q__windows", "q__again", "q__narrow", "q__k1", "q__k2", "q__found")
 
 
 def fences(rows: DataFrame) -> DataFrame:
-    """One row per (t_lang, t_source): t_<measure>, the greatest value that passes, from merged quantile sketches.
+    """One row per (t_lang, t_source) with a row that passes the base rules: t_<measure>, the greatest value that passes;
+    null where no level has enough rows and a spread, and the measure judges nothing.
 
-    rows: measured() rows with q_lang and q_source. Size: groups of lang and source times four doubles.
+    rows: measured() rows with q_lang and q_source. Size: groups of lang and source times four doubles. Driver: nothing.
     """
-    sketched = rows.groupBy("q_lang", "q_source").agg(*[F.kll_sketch_agg_double(F.col(m), F.lit(SKETCH_K)).alias(m) for m in RULES])
-    at = lambda m, q: F.kll_sketch_get_quantile_double(F.col(m), F.lit(q))
-    fence = lambda m, floor, spread: F.greatest(F.lit(floor), at(m, 0.75) + F.lit(spread) * (at(m, 0.75) - at(m, 0.25)))
-    return sketched.select(F.col("q_lang").alias("t_lang"), F.col("q_source").alias("t_source"), *[fence(m, *RULES[m]).alias(f"t_{m}") for m in RULES])
-
+    passed = rows.where((F.col("q__row") >= 0) & ~F.col("base_failed"))
+    own = passed.groupBy("q_lang", "q_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.expr(x), F.lit(SKETCH_K)).alias(m) for m, (x, _, _) in RULES.items()])
+    own = materialize(own, "sketches")
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(F.col(m), F.lit(SKETCH_K)).alias(m) for m in RULES]]
 
-def bounded_fences(rows: DataFrame) -> DataFrame:
-    """fences() that a group with much junk can't open: the lower half alone bounds each fence, and beyond that its cap.
+    def level(df: DataFrame, p: str) -> DataFrame:
+        names = [F.col(c).alias(f"{p}_{c[2:]}") for c in ("q_lang", "q_source") if c in df.columns]
+        return df.select(*names, *[F.when(F.col("n") >= LEAST_ROWS, _fence(F.col(m), power, least)).alias(f"{p}_{m}") for m, (_, power, least) in RULES.items()])
 
-    Up to half of a group can be junk without moving its median and lower quartile. A group that is mostly junk has junk
-    there as well, so nothing over the caps passes in any group. A group of fewer than LEAST_ROWS takes the fences of its
-    language, or else those of all rows, or else the floors; the groups' sketches are merged for these.
-    """
-    own = materialize(rows.groupBy("q_lang", "q_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(F.col(m), F.lit(SKETCH_K)).alias(m) for m in RULES]), "sketches")
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(F.col(m), F.lit(SKETCH_K)).alias(m) for m in RULES]]
-    limits = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c[2:]}") for c in ("q_lang", "q_source") if c in df.columns], F.col("n").alias(f"{p}_n"), *[_bounded(F.col(m), m).alias(f"{p}_{m}") for m in RULES])
-    wide = limits(own, "t").join(limits(own.groupBy("q_lang").agg(*merged), "l"), F.col("t_lang").eqNullSafe(F.col("l_lang")), "left").crossJoin(F.broadcast(limits(own.agg(*merged).where("n > 0"), "a")))
-    chosen = lambda m: F.coalesce(*[F.when(F.col(f"{p}_n") >= LEAST_ROWS, F.col(f"{p}_{m}")) for p in "tla"], F.lit(RULES[m][0]))
-    return wide.select("t_lang", "t_source", *[chosen(m).alias(f"t_{m}") for m in RULES])
+    everything = level(own.agg(*merged).where("n > 0"), "a")  # one row
+    wide = level(own, "t").join(level(own.groupBy("q_lang").agg(*merged), "l"), F.col("t_lang").eqNullSafe(F.col("l_lang")), "left").crossJoin(F.broadcast(everything))
+    return wide.select("t_lang", "t_source", *[F.coalesce(F.greatest(F.col(f"t_{m}"), F.col(f"l_{m}")), F.col(f"a_{m}")).alias(f"t_{m}") for m in RULES])
 
 
-def _bounded(sketch: Column, m: str) -> Column:
-    floor, spread = RULES[m]
-    low, middle, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.5, 0.75))
-    half = F.greatest(F.lit(2 * spread) * (middle - low), middle)  # a lower half of equal rows has no spread
-    fence = F.least(high + F.lit(spread) * (high - low), middle + half, F.lit(CAPS[m]))
-    return F.greatest(F.lit(floor), fence)
+def _fence(sketch: Column, power: float, least: float) -> Column:
+    """Median * (median / lowest decile) ** power; null without a spread."""
+    low, middle = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.1, 0.5))
+    return F.when(middle > low, middle * F.pow(F.greatest(middle / low, F.lit(least)), F.lit(power)))
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
@@ -141,22 +142,22 @@ def _grouped(docs: DataFrame) -> DataFrame:
 
 
 def judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
-    """rows with base_failed and kept, joined with their group's fences; null lang or source is a group of its own.
+    """rows with kept, joined with their group's fences; null lang or source is a group of its own.
 
     limits has a file's statistics: it is broadcast below Spark's threshold only, and joined by shuffle beyond it.
     """
-    base = (F.col("q__row") < 0) | (F.col("q_words") < LEAST_WORDS) | (100 * F.col("q_repeat_words") > MOST_REPEATED * F.col("q_words"))
-    joined = rows.join(limits, F.col("q_lang").eqNullSafe(F.col("t_lang")) & F.col("q_source").eqNullSafe(F.col("t_source")), "left")
+    joined = rows.where("q__row >= 0").join(limits, F.col("q_lang").eqNullSafe(F.col("t_lang")) & F.col("q_source").eqNullSafe(F.col("t_source")), "left")
     passed = F.lit(True)
     for m in RULES:
-        passed = passed & (F.col(m) <= F.col(f"t_{m}"))
-    return joined.withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & F.coalesce(passed, F.lit(False)))
+        passed = passed & F.coalesce(F.col(m) <= F.col(f"t_{m}"), F.lit(True))
+    return joined.withColumn("kept", ~F.col("base_failed") & passed)
 
 
 def measure_and_judge(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed and kept for every row of docs; texts are read once.
 
-    Empty tables give no rows; repeated rows are judged row by row; extra columns are ignored.
+    Null lang or source is a value of its own. Null and empty texts have no words and fail the base rules; of values equal
+    to a fence, all pass. Empty tables give no rows; repeated rows are judged row by row; extra columns are ignored.
     """
     rows = _grouped(docs.select("doc_id", "text", column_or_null(docs, "lang", "string"), column_or_null(docs, "source", "string")))
     held = materialize(measured(rows).drop("text", "lang", "source"), "quality")
@@ -164,14 +165,14 @@ def measure_and_judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs that pass bounded fences, with docs' columns. Rows are measured once and written with their measures, as the
+    """The rows of docs that pass, with docs' columns. Rows are measured once and written with their measures, as the
     fences need all of them first; writing a text costs a fraction of measuring it again.
 
     Columns of docs whose names this operator uses (q_*, t_*, the measures) are kept unharmed.
     """
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"), column_or_null(docs, "lang", "string"), column_or_null(docs, "source", "string"))
     held = materialize(measured(_grouped(inner)).drop("text", "lang", "source"), "measured")
-    kept = judged(held, materialize(bounded_fences(held), "fences")).where("kept")
+    kept = judged(held, materialize(fences(held), "fences")).where("kept")
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
@@ -181,10 +182,13 @@ def op9_quality(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_quality": op9_quality}
-_FENCES = ", ".join(f"greatest({floor}, quantile_disc({m}, 0.75) + {spread} * (quantile_disc({m}, 0.75) - quantile_disc({m}, 0.25))) AS t_{m}" for m, (floor, spread) in RULES.items())
-_PASSES = " AND ".join(f"{m} <= t_{m}" for m in RULES)
+_SKETCHED = {m: x.replace("q_symbols", "n_symbols").replace("q_chars", "word_chars").replace("q_dup_lines", "n_dup_lines").replace("q_lines", "n_lines").replace("q_repeat_words", "n_repeat_words").replace("q_words", "n_words") for m, (x, _, _) in RULES.items()}
+_LEVEL = ", ".join(
+    f"CASE WHEN count(*) >= {LEAST_ROWS} AND quantile_disc(z_{m}, 0.5) > quantile_disc(z_{m}, 0.1) THEN quantile_disc(z_{m}, 0.5) * pow(greatest(quantile_disc(z_{m}, 0.5) / quantile_disc(z_{m}, 0.1), {least}), {power}) END AS t_{m}" for m, (_, power, least) in RULES.items()
+)
+_PASSES = " AND ".join(f"coalesce({m} <= coalesce(greatest(f.t_{m}, l.t_{m}), a.t_{m}), true)" for m in RULES)
 
-#: With exact quartiles, which the sketches give as well while a group has no more rows than SKETCH_K.
+#: With exact quantiles, which the sketches give as well while a level has no more rows than SKETCH_K.
 ORACLE_SQL = {
     "op9_quality": f"""
 WITH w AS (
@@ -199,7 +203,10 @@ m AS (
 r AS (
   SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed, n_symbols / greatest(word_chars, 1) AS symbol_share, n_dup_lines / greatest(n_lines, 1) AS dup_line_share,
          n_repeat_words / greatest(n_words, 1) AS repeat_share, word_chars / greatest(n_words, 1) AS word_length FROM m),
-f AS (SELECT lang AS t_lang, source AS t_source, {_FENCES} FROM r GROUP BY lang, source)
+z AS (SELECT lang, source, {", ".join(f"{x} AS z_{m}" for m, x in _SKETCHED.items())} FROM r WHERE NOT base_failed),
+f AS (SELECT lang, source, {_LEVEL} FROM z GROUP BY lang, source),
+l AS (SELECT lang, {_LEVEL} FROM z GROUP BY lang),
+a AS (SELECT {_LEVEL} FROM z)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_PASSES} AS kept
-FROM r JOIN f ON t_lang IS NOT DISTINCT FROM lang AND t_source IS NOT DISTINCT FROM source"""
+FROM r CROSS JOIN a LEFT JOIN l ON l.lang IS NOT DISTINCT FROM r.lang LEFT JOIN f ON f.lang IS NOT DISTINCT FROM r.lang AND f.source IS NOT DISTINCT FROM r.source"""
 }
