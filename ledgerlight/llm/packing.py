@@ -1,13 +1,14 @@
 """Mixture-controlled packing (operator 1): deficit round-robin over one token queue per source.
 
-Each source's documents form a queue of tokens that is cut into segments. In every round a source earns credit, its
-target share of one window, and sends as many whole segments as its credit covers; what it cannot spend yet, its
-deficit, it carries to the next rounds, windows and partitions. The segments in the order sent fill windows of
-``window`` tokens without a gap. Because a queue's segments all have the same length, the round of segment k and the
-tokens sent before it have a closed form in the queues' totals: every task places its own pieces from the totals and its
-place in the queue, so nothing is sorted or shuffled and the hot source is spread over all tasks.
-
-Driver memory: one total for each source. Tasks' placing: linear in sources per segment.
+Each source's documents form a queue of tokens. A round fills one window: every source earns credit, its target share of
+the window, and sends as many whole ``segment``s of tokens as its credit covers; what it cannot spend yet, its deficit, it
+carries to the next rounds, windows and partitions. With segments of a few tokens each window holds each source's share
+to within about a segment, also if there are many sources. What a queue sends in a round stays in one piece, so windows
+have about a piece per source and document. The round and the place of every token have a closed form in the queues'
+totals: every task places its own pieces from the totals and its place in the queue, so nothing is sorted or shuffled and
+the hot source is spread over all tasks.
+
+Driver memory: one total for each source. Tasks' placing: linear in sources per round that a document is sent in.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ from .common import arrow_map, column_or_null, in_chunks, materialize, table, te
 UNIT = 1024
 
 
+#: Tokens that a queue sends at least; credit beyond a multiple of it is carried over.
+SEGMENT = 8
+
+
 class Schedule:
     """Closed form of the deficit round-robin over queues with totals[s] tokens and target shares[s]."""
 
@@ -36,20 +41,23 @@ class Schedule:
         self.segment, self.window = segment, window
         whole = float(sum(shares)) or 1.0
         self.quantum = np.maximum(1, np.rint(np.asarray(shares, float) / whole * window * UNIT)).astype(np.int64)
-        self.segments = -(-self.totals // segment)
-        self.last_round = -(-(self.segments * segment * UNIT) // self.quantum)
+        self.last_round = -(-(-(-self.totals // segment) * segment * UNIT) // self.quantum)
 
-    def sent(self, s: int, rounds: np.ndarray) -> np.ndarray:
+    def sent(self, s: int | np.ndarray, rounds: np.ndarray) -> np.ndarray:
         """Tokens that queue s has sent after so many rounds."""
         r = np.minimum(rounds, self.last_round[s])
         return np.minimum(self.totals[s], r * self.quantum[s] // (self.segment * UNIT) * self.segment)
 
-    def place(self, s: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """Global token position of the first token of segment k of queue s."""
-        rounds = -(-((k + 1) * self.segment * UNIT) // self.quantum[s])
-        at = k * self.segment
+    def round_of(self, s: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """The round, from 1, in which a queue sends its token."""
+        return -(-((token // self.segment + 1) * self.segment * UNIT) // self.quantum[s])
+
+    def place(self, s: np.ndarray, rounds: np.ndarray) -> np.ndarray:
+        """Tokens of other queues that are sent before what queue s sends in a round: a token's position in the order of
+        all tokens is this and its position in its queue."""
+        at = np.zeros(len(s), np.int64)
         for q in range(len(self.totals)):
-            at = at + np.where(s == q, 0, self.sent(q, rounds - (s < q)))
+            at += np.where(s == q, 0, self.sent(q, rounds - (s < q)))
         return at
 
 
@@ -77,12 +85,14 @@ def tokenized(docs: DataFrame, path: str, end_id: int | None = 1) -> DataFrame:
     return arrow_map(chosen, run, "pid int, source string, doc_id long, ids binary, n long, before long")
 
 
-def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | None = None, window: int = 2048, segment: int = 512, end_id: int | None = 1, digest: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | None = None, window: int = 2048, segment: int = SEGMENT, end_id: int | None = 1, digest: bool = False) -> DataFrame:
     """Place every token of every document in windows of ``window`` tokens.
 
     targets: share of each source in a window (missing sources get share 0 beside a quantum of a 1024th token); None
     takes the sources' own token shares, the one mixture that every window can have while all rows are packed. Queues
-    that run empty leave the round; the others go on with their quanta.
+    that run empty leave the round; the others go on with their quanta. While no queue is empty, a source's tokens in a
+    window differ from its target by at most a few segments; over 20 sources of the test tables that is a total variation
+    of under 0.05 in every full window.
 
     Returns a row per piece: doc_id, source, start, length, doc_tokens, sequence_id, offset, ids (little-endian, 2 bytes
     an id where the vocabulary allows, else 4), or with digest ids_crc32 in its place, over the ids as unsigned 32-bit
@@ -109,13 +119,16 @@ def pack(docs: DataFrame, path: str | None = None, targets: dict[str, float] | N
             first = col["first"].to_numpy(zero_copy_only=False)
             s = np.array([order[x] for x in col["source"].to_pylist()], np.int64)
             some = n > 0
-            k0, k1 = first // segment, (first + np.maximum(n, 1) - 1) // segment
-            count = np.where(some, k1 - k0 + 1, 0)
+            r0, r1 = plan.round_of(s, first), plan.round_of(s, first + np.maximum(n, 1) - 1)
+            # a piece for each round from r0 to r1 in which the queue sends something
+            count = np.where(some, r1 - r0 + 1, 0)
             row = np.repeat(np.arange(len(n)), count)
-            k = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + k0[row]
-            begin = np.maximum(k * segment, first[row])
-            end = np.minimum((k + 1) * segment, first[row] + n[row])
-            at = plan.place(s[row], k) + begin - k * segment
+            turn = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + r0[row]
+            begin = np.maximum(plan.sent(s[row], turn - 1), first[row])
+            end = np.minimum(plan.sent(s[row], turn), first[row] + n[row])
+            used = end > begin
+            row, turn, begin, end = row[used], turn[used], begin[used], end[used]
+            at = plan.place(s[row], turn) + begin
             length = end - begin
             cuts = np.where(length > 0, (at + length - 1) // window - at // window + 1, 0)
             part = np.repeat(np.arange(len(row)), cuts)

@@ -2,8 +2,8 @@
 
 The vocabulary is read from the tokenizer's JSON file whose path is a parameter. A byte-level BPE whose ids follow its
 merge order gives the same ids through a rank table, several times faster; that path is used for texts whose characters
-all lie below U+0250, where the two libraries' character classes agree, and the JSON tokenizer itself for all others.
-Tests hold the two against each other.
+all lie below U+0250, where the two libraries' character classes agree, and that hold no added token's string, and the JSON
+tokenizer itself for all others. Tests hold the two against each other.
 """
 
 from __future__ import annotations
@@ -45,6 +45,7 @@ class Encoder:
         ids = [*(vocab.values() if isinstance(vocab, dict) else range(len(vocab))), *(x["id"] for x in spec.get("added_tokens", []))]
         self.width = 2 if ids and max(ids) < 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
+        self.added = [x["content"] for x in spec.get("added_tokens", []) if x["content"]]
         self.fast = self._ranks(spec)
 
     @cached_property
@@ -52,9 +53,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(self.path)
-        made.encode_special_tokens = True  # their strings in a text are ordinary text
-        return made
+        return Tokenizer.from_file(self.path)
 
     @staticmethod
     def _ranks(spec: dict):
@@ -72,7 +71,7 @@ class Encoder:
             return None
 
     def ids(self, text: str) -> list[int]:
-        if self.fast is not None and not _ODD.search(text):
+        if self.fast is not None and not _ODD.search(text) and not any(x in text for x in self.added):
             return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 
