@@ -10,8 +10,9 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space that a Python-like strip removes.
-SPACE = r"[\s\x1c-\x1f\x85   -     　]"
+#: White space that a Python-like strip removes: as a set of characters and as a pattern.
+BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+SPACE = f"[{BLANKS}]"
 #: Digits that count as numbers beside ASCII's.
 INDIC_DIGITS = "०१२३४५६७८९০১২৩৪৫৬৭৮৯"
 
@@ -30,7 +31,7 @@ RELATION_LABELS = {"F": "Father", "H": "Husband", "M": "Mother", "O": "Other/Gua
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
 
 
 def clean(text: Column) -> Column:
@@ -71,7 +72,7 @@ def integer(text: Column, label: str) -> tuple[Column, Column]:
     """(int, remark): blank and NULL are null without a remark; anything that is no integer is null with one."""
     value = clean(text)
     ascii_ = F.translate(value, INDIC_DIGITS, "01234567890123456789")
-    number = F.when(ascii_.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.regexp_replace(ascii_, "_", "").try_cast("int"))
+    number = F.when(ascii_.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.replace(ascii_, F.lit("_")).try_cast("int"))
     remark = F.when((value != "") & number.isNull(), F.concat(F.lit(f"non-numeric {label}: "), quoted(value)))
     return number, remark
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,10 +20,60 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(size > 0, dot(a, b) / size)
 
 
-def ranks(scored: DataFrame, query: str, true: Column) -> DataFrame:
+def nearest(rows: DataFrame, queries: DataFrame, key: str, vector: str, k: int, block_bytes: int = 4 << 20) -> DataFrame:
+    """(query, position, score): the k rows nearest to each query row by cosine, itself left out, ties by key.
+
+    Queries are cut into blocks of about block_bytes, each normalised once and sent to all tasks, which multiply their
+    rows with it and keep k rows a query; what the tasks keep meets by query. A pass over rows for each block; the driver
+    holds one block. Scores are rounded to 9 places. Vectors that are null or zero have no score and don't appear.
+    """
+    asked = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
+    size = asked.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
+    blocks = max(1, -(-size.n * (size.dim or 0) * 8 // block_bytes))
+    parts = []
+    for b in range(blocks):
+        ids, unit = _units(asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).toArrow())
+        parts.append(rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).mapInArrow(_nearest(rows.sparkSession.sparkContext.broadcast((ids, unit)), k), "query long, position long, score double"))
+    place = Window.partitionBy("query").orderBy(F.desc("score"), "position")
+    return reduce(DataFrame.unionByName, parts).withColumn("k", F.row_number().over(place)).where(F.col("k") <= k).drop("k")
+
+
+def _units(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors of the rows that have one."""
+    ids, vectors = rows.column(0).to_numpy(), [np.asarray(v, float) if v is not None and None not in v else None for v in rows.column(1).to_pylist()]
+    good = [i for i, v in enumerate(vectors) if v is not None and np.isfinite(v).all() and v.any()]
+    if not good:
+        return np.empty(0, np.int64), np.empty((0, 0))
+    unit = np.stack([vectors[i] for i in good])
+    return ids[good].astype(np.int64), unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+
+
+def _nearest(shared, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, asked = shared.value
+        best = np.full((len(queries), k), -np.inf)
+        who = np.full((len(queries), k), np.iinfo(np.int64).max)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                ids, unit = _units(batch.slice(lo, 512))
+                if not len(ids) or not len(queries):
+                    continue
+                score = np.round(asked @ unit.T, 9)
+                score[queries[:, None] == ids[None, :]] = -np.inf
+                all_scores, all_ids = np.hstack([best, score]), np.hstack([who, np.broadcast_to(ids, score.shape)])
+                order = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
+                best, who = np.take_along_axis(all_scores, order, 1), np.take_along_axis(all_ids, order, 1)
+        row, col = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(queries[row]), pa.array(who[row, col]), pa.array(best[row, col])], ["query", "position", "score"])
+
+    return run
+
+
+def ranks(scored: DataFrame, query: str | list[str], true: Column) -> DataFrame:
     """(query, rank) of the true candidate among rows(query, position, score); ties keep the candidates' positions."""
-    place = Window.partitionBy(query).orderBy(F.desc("score"), "position")
-    return scored.withColumn("rank", F.row_number().over(place)).where(true).select(query, "rank")
+    keys = [query] if isinstance(query, str) else query
+    place = Window.partitionBy(*keys).orderBy(F.desc("score"), "position")
+    return scored.withColumn("rank", F.row_number().over(place)).where(true).select(*keys, "rank")
 
 
 def quality(ranked: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -31,10 +86,16 @@ def evaluate(cases: DataFrame, score) -> DataFrame:
     """quality() of cases(query, true_name, candidates) under score(query Column, candidate Column)."""
     rows = cases.select("query", "true_name", F.posexplode("candidates").alias("position", "candidate"))
     scored = rows.withColumn("score", score(F.col("query"), F.col("candidate")))
-    first = ranks(scored, "query", F.col("candidate") == F.col("true_name")).groupBy("query").agg(F.min("rank").alias("rank"))
+    case = ["query", "true_name"]
+    first = ranks(scored, case, F.col("candidate") == F.col("true_name")).groupBy(*case).agg(F.min("rank").alias("rank"))
     return quality(first)
 
 
+def distinct_names(cases: DataFrame) -> DataFrame:
+    """(name) of all queries and candidates, each once: what an encoder has to see."""
+    return cases.select(F.col("query").alias("name")).union(cases.select(F.explode("candidates"))).distinct()
+
+
 def verdict(metrics: DataFrame, baselines: list[str]) -> DataFrame:
     """metrics(name, mrr) with wins: strictly above the best baseline."""
     best = metrics.where(F.col("name").isin(baselines)).agg(F.max("mrr").alias("best_baseline"))

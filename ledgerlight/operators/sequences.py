@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlight.storage import stored
+
 
 def islands(rows: DataFrame, keys: list[str], value: str, gap: float, out: str = "island") -> DataFrame:
     """Chained clusters: a new one starts where a value exceeds the one before it by more than gap."""
@@ -57,15 +59,21 @@ def first_known(rows: DataFrame, keys: list[str], order: list[str], value: str,
 def ordinal(rows: DataFrame, order: list[str], out: str = "id") -> DataFrame:
     """1, 2, 3, … in the given total order, without one task that holds all rows.
 
-    Rows are range-partitioned by the order and counted per partition; a row's number is its place in its partition after
-    the rows of those before it. rows should be a stored table, as it is read twice.
+    Rows are range-partitioned and sorted by the order and written once, with their partition and their place in it; a
+    row's number is its place after the rows of the partitions before. Counting and numbering read the same files, since
+    a range partitioning that is planned twice may be cut and coalesced in two ways. One shuffle; the written rows stay
+    in the shared folder (storage.discard() deletes them). An empty table gives no rows.
     """
-    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("o__pid", F.spark_partition_id())
-    counts = spread.groupBy("o__pid").agg(F.count("*").alias("o__n"))
+    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    held = stored(spread.select("*", F.spark_partition_id().alias("o__pid"), place.alias("o__at")), "ordinal")
+    counts = held.groupBy("o__pid").agg(F.count("*").alias("o__n"))
     before = Window.orderBy("o__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     base = counts.select(F.col("o__pid").alias("o__p"), F.coalesce(F.sum("o__n").over(before), F.lit(0)).alias("o__base"))
-    place = Window.partitionBy("o__pid").orderBy(*order)
-    return spread.join(base, F.col("o__pid") == F.col("o__p")).withColumn(out, (F.col("o__base") + F.row_number().over(place)).cast("long")).drop("o__pid", "o__p", "o__base")
+    numbered = held.join(base, F.col("o__pid") == F.col("o__p")).withColumn(out, F.col("o__base") + F.col("o__at") + 1)
+    numbered = numbered.drop("o__pid", "o__at", "o__p", "o__base")
+    numbered._ledgerlight_path = held._ledgerlight_path
+    return numbered
 
 
 def surrounding(rules: Column, at: Column) -> Column:

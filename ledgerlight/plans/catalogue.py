@@ -245,10 +245,10 @@ def global_counts(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey)::BIGINT AS id FROM orders""")
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, row_number() OVER (ORDER BY o_orderpriority, o_orderkey)::BIGINT AS id FROM orders""")
 def row_ordinal(spark, sf_dir):
-    rows = _read(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey")
-    return sequences.ordinal(rows, ["o_orderpriority", "o_orderkey"]).select("o_orderkey", "id")
+    rows = _read(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return sequences.ordinal(rows, ["o_orderpriority", "o_orderkey"]).drop("o_orderpriority")
 
 
 @query("""
@@ -429,30 +429,37 @@ SELECT query, position, round(score, 6) AS score FROM s QUALIFY row_number() OVE
 def cosine_topk(spark, sf_dir):
     """Ten nearest of every stated query vector; candidates are thinned in each task before they meet."""
     rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    asked = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("q"))
-    scored = rows.join(asked, F.col("vec_id") != F.col("query")).select("query", F.col("vec_id").alias("position"), F.round(evaluate.cosine(F.col("q"), F.col("embedding")), 9).alias("score"))
-    place = Window.partitionBy("query").orderBy(F.desc("score"), "position")
-    return scored.withColumn("k", F.row_number().over(place)).where("k <= 10").select("query", "position", F.round("score", 6).alias("score"))
+    found = evaluate.nearest(rows, rows.where("vec_id % 100 = 0"), "vec_id", "embedding", 10)
+    return found.select("query", "position", F.round("score", 6).alias("score"))
 
 
 @query("""
-WITH names AS (SELECT DISTINCT p_name FROM part), pools AS (SELECT p_name AS query, list_sort(list(n)) AS candidates FROM names, (SELECT p_name AS n FROM names) GROUP BY p_name),
-c AS (SELECT query, unnest(candidates) AS candidate, unnest(range(0, len(candidates))) AS position FROM pools),
-s AS (SELECT *, jaro_winkler_similarity(lower(query[1:1] || query[3:]), lower(candidate)) AS score FROM c),
-r AS (SELECT query, candidate, row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, position) AS rank FROM s)
+WITH names AS (SELECT DISTINCT p_name FROM part),
+pools AS (SELECT p_name AS true_name, list(p_name) OVER (PARTITION BY split_part(p_name, ' ', 1) ORDER BY p_name ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS candidates FROM names),
+c AS (SELECT true_name, unnest(candidates) AS candidate, unnest(range(0, len(candidates))) AS position FROM pools),
+s AS (SELECT *, jaro_winkler_similarity(lower(true_name[1:1] || true_name[3:]), lower(candidate)) AS score FROM c),
+r AS (SELECT true_name, candidate, row_number() OVER (PARTITION BY true_name ORDER BY round(score, 9) DESC, position) AS rank FROM s)
 SELECT round(avg((rank <= 1)::INT), 6) AS recall_at_1, round(avg((rank <= 3)::INT), 6) AS recall_at_3, round(avg((rank <= 5)::INT), 6) AS recall_at_5, round(avg(1.0 / rank), 6) AS mrr, count(*)::BIGINT AS n
-FROM r WHERE candidate = query""")
+FROM r WHERE candidate = true_name""")
 def recall_mrr(spark, sf_dir):
-    """How often a name that lost its second letter finds itself among all distinct names."""
+    """How often a name that lost its second letter finds itself in a pool of at most 20 names with its first word."""
     names = _read(spark, sf_dir, "part").select("p_name").distinct()
-    pool = names.agg(F.array_sort(F.collect_list("p_name")).alias("candidates"))  # distinct names of a closed vocabulary
-    cases = names.join(pool).select(F.concat(F.substring("p_name", 1, 1), F.expr("substring(p_name, 3)")).alias("query"), F.col("p_name").alias("true_name"), "candidates")
-    rows = cases.select(F.col("true_name").alias("case"), "query", F.posexplode("candidates").alias("position", "candidate"))
-    scored = rows.withColumn("score", F.round(scorers.pair_score(F.col("query"), F.col("candidate"), "jaro_winkler"), 7))
-    out = evaluate.quality(evaluate.ranks(scored, "case", F.col("candidate") == F.col("case")))
+    near = Window.partitionBy(F.substring_index("p_name", " ", 1)).orderBy("p_name").rowsBetween(-10, 9)
+    cases = names.select(F.concat(F.substring("p_name", 1, 1), F.expr("substring(p_name, 3)")).alias("query"), F.col("p_name").alias("true_name"), F.collect_list("p_name").over(near).alias("candidates"))
+    out = evaluate.evaluate(cases, lambda q, c: F.round(scorers.pair_score(q, c, "jaro_winkler"), 7))
     return out.select(*[F.round(c, 6).alias(c) for c in ("recall_at_1", "recall_at_3", "recall_at_5", "mrr")], "n")
 
 
+@query("""
+WITH names AS (SELECT DISTINCT p_name FROM part)
+SELECT p_name AS name FROM names UNION SELECT p_name[1:1] || p_name[3:] FROM names""")
+def names_to_encode(spark, sf_dir):
+    """Queries and candidates of an evaluation, each name once."""
+    names = _read(spark, sf_dir, "part").select("p_name").distinct()
+    cases = names.select(F.concat(F.substring("p_name", 1, 1), F.expr("substring(p_name, 3)")).alias("query"), F.array("p_name").alias("candidates"))
+    return evaluate.distinct_names(cases)
+
+
 # text --------------------------------------------------------------------------------------------------------------
 
 

@@ -190,3 +190,36 @@ def test_small_expressions(spark):
         nz.quoted(F.col("q")).alias("q"), nz.quoted(F.col("b")).alias("b"), nz.integer(F.col("n"), "n")[0].alias("n"), nz.glyph_key(F.col("g")).alias("g"), nz.masked(F.col("g")).alias("m"), nz.filled(F.lit("12345"), 3).alias("z"), nz.filled(F.lit("7"), 3).alias("s"),
     ).first()
     assert tuple(row) == ('"it\'s"', "'a\\\\b'", 450, "01-FF", "??", "12345", "007")
+
+
+def test_ordinal_of_wide_rows(spark):
+    """A payload beside the order, and the adaptive planner free to coalesce: every row once, numbered 1 to n."""
+    n = 300_000
+    rows = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(n * 7)).alias("at"), "id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 12).alias("payload")).withColumnRenamed("id", "row")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    out = sequences.ordinal(rows, ["at", "row"])
+    got = out.agg(F.count("*"), F.count_distinct("id"), F.min("id"), F.max("id"), F.count_if(F.length("payload") == 768)).first()
+    assert tuple(got) == (n, n, 1, n, n)
+    steps = out.select("id", "at").orderBy("id").toPandas()
+    assert (steps["at"].diff().dropna() >= 0).all()
+    assert sequences.ordinal(rows.limit(0), ["at", "row"]).collect() == []
+
+
+def test_nearest_matches_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-3, 4, (300, 6)).astype(float)  # many ties
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(900, None), (901, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in evaluate.nearest(df, df.where("vec_id % 10 = 0 OR vec_id > 899"), "vec_id", "embedding", 5, block_bytes=400).collect():
+        got.setdefault(r.query, set()).add((r.position, r.score))
+    norm = np.sqrt((vectors**2).sum(axis=1))
+    for q in range(0, 300, 10):
+        if not norm[q]:
+            assert q not in got
+            continue
+        score = {i: round(float(vectors[i] @ vectors[q] / norm[i] / norm[q]), 9) for i in range(300) if i != q and norm[i]}
+        best = sorted(score, key=lambda i: (-score[i], i))[:5]
+        assert {i for i, _ in got[q]} == set(best)
