@@ -161,7 +161,11 @@ def _prose(r: random.Random) -> str:
 
 def _links(r: random.Random, n: int) -> str:
     items = [f'<a href="/{i}">{_words(r, r.randint(1, 4))}</a>' for i in range(n)]
-    kind = r.randint(0, 3)
+    kind = r.randint(0, 5)
+    if kind == 4:
+        return "<table><tr>" + "".join(f"<td>{x}</td>" for x in items) + "</tr></table>"
+    if kind == 5:
+        return "<dl>" + "".join(f"<dt>{x}</dt>" for x in items) + "</dl>"
     return "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>" if kind < 2 else " | ".join(items) if kind == 2 else "".join(f"<p>{x}</p>" for x in items)
 
 
@@ -169,13 +173,27 @@ def _named(r: random.Random, tags: str, hint: str, plain: float = 0.15) -> tuple
     """Start and end tag of a part, with a telling class or id, mostly."""
     tag = r.choice(tags.split())
     bare = {"div", "section", "p", "ul", "span"}
+    if plain >= 1:  # an anonymous page
+        tag = r.choice(("div", "div", "div", "td", "section", "center", "p" if hint != "main" else "div"))
+        return f"<{tag}" + (f' class="{_words(r, 1)}"' if r.random() < 0.5 else ""), f"</{tag}>"
     if tag not in bare and r.random() < 0.6 or r.random() < plain:
         return f"<{tag}", f"</{tag}>"
-    name = r.choice(dom.HINTS[hint].split())
+    name = r.choice(dom.HINTS[hint].split()) if r.random() < 0.95 else _words(r, 1)
     return f'<{tag} {r.choice(("class", "class", "id"))}="{r.choice(("", "site-", "page-"))}{name}"', f"</{tag}>"
 
 
-def _boilerplate(r: random.Random, kind: str) -> str:
+def _misnamed(r: random.Random, share: float) -> str:
+    """A class on a piece of prose that would hint at something else, or at nothing, for a share of pieces."""
+    if r.random() >= share:
+        return ""
+    return f' class="{r.choice(dom.HINTS[r.choice(dom.KINDS[1:])].split()) if r.random() < 0.7 else _words(r, 1)}"'
+
+
+def _boilerplate(r: random.Random, kind: str, anonymous: bool = False) -> str:
+    if anonymous:  # nothing but links and words tells what it is
+        a, b = _named(r, "div", "menu", 1.0)
+        body = _links(r, r.randint(3, 9)) if kind in ("menu", "side", "share", "header") else f"{r.choice(('&copy; ', ''))}{_words(r, r.randint(1, 4))} {' '.join([_links(r, r.randint(1, 4))])}"
+        return f'{a} data-main="0">{body}{b}'
     text = lambda: f"<{t}>{_prose(r)}</{t}>" if (t := r.choice(("p", "p", "div", "span", ""))) else _prose(r)
     if kind == "menu":
         (a, b), body = _named(r, "nav nav div ul", "menu", 0.1), _links(r, r.randint(2, 9))
@@ -199,17 +217,22 @@ def _boilerplate(r: random.Random, kind: str) -> str:
     return f'{a} data-main="0">{body}{b}'
 
 
-def _article(r: random.Random) -> str:
+def _article(r: random.Random, anonymous: bool = False) -> str:
     inner = []
+    make = r.choice(("p", "p", "div", "br", "section", "span")) if anonymous else "p"
+    odd = r.choice((0.0, 0.0, 0.0, 0.0, 0.0, 0.1, 0.9))  # some pages give their paragraphs names of their own
     if r.random() < 0.8:
         head = f"<h1>{_words(r, r.randint(1, 9))}</h1>"
         inner.append(f"<header>{head}</header>" if r.random() < 0.1 else head)
     for _ in range(r.choice((1, 2, 3, 6, 12, 25))):
         k = r.random()
-        if k < 0.68:
-            inner.append(f"<p>{_prose(r)}" + r.choice(("</p>", "</p>", "")))
+        if make != "p" and k < 0.9:
+            prose = _prose(r)
+            inner.append({"div": f"<div>{prose}</div>", "br": f"{prose}<br><br>", "section": f"<section><h3>{_words(r, 3)}</h3><p>{prose}</p></section>", "span": f"<p><span>{prose}</span></p>"}[make])
+        elif k < 0.68:
+            inner.append(f"<p{_misnamed(r, odd)}>{_prose(r)}" + r.choice(("</p>", "</p>", "")))
         elif k < 0.74:
-            inner.append(f"<h{(n := r.randint(2, 4))}>{_words(r, 3)}</h{n}>")
+            inner.append(f"<h{(n := r.randint(2, 4))}{_misnamed(r, odd)}>{_words(r, 3)}</h{n}>")
         elif k < 0.80:
             inner.append(f"<{(t := r.choice(('ul', 'ol')))}>" + "".join(f"<li>{_prose(r)}</li>" for _ in range(r.randint(1, 5))) + f"</{t}>")
         elif k < 0.84:
@@ -221,14 +244,14 @@ def _article(r: random.Random) -> str:
         elif k < 0.92:
             inner.append(f"<figure><img src=x><figcaption>{_prose(r)}</figcaption></figure>")
         elif k < 0.94:
-            inner.append(f"<div>{_prose(r)}</div>")
+            inner.append(f"<div{_misnamed(r, odd)}>{_prose(r)}</div>")
         elif k < 0.96:
             inner.append(f'<p>{_words(r, 5)} <a href="/x">{_words(r, r.randint(2, 20))}</a> {_prose(r)}</p>')
         else:
-            inner.append(_boilerplate(r, r.choice(("advert", "share", "side", "notice", "form"))))
-    if r.random() < 0.1:
+            inner.append(_boilerplate(r, r.choice(("advert", "share", "side", "notice", "form"))) if not anonymous else "")
+    if r.random() < 0.1 and not anonymous:
         inner.append(_boilerplate(r, "comment"))
-    a, b = _named(r, "article article article main main div div section", "main", 0.25)
+    a, b = _named(r, "article article article main main div div section", "main", 1.0 if anonymous else 0.25)
     out = f'{a} data-main="1">' + "".join(inner) + b
     return f'<main data-main="1">{out}</main>' if r.random() < 0.15 else out
 
@@ -238,16 +261,20 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = SEED) -> list[str]:
     r = random.Random(seed)
     out = []
     for _ in range(n):
-        before = [_boilerplate(r, k) for k in ("notice", "header", "menu", "advert", "form") if r.random() < 0.5]
-        after = [_boilerplate(r, k) for k in ("share", "comment", "side", "advert", "notice", "form", "footer") if r.random() < 0.5]
+        anonymous = r.random() < 0.2
+        before = [_boilerplate(r, k, anonymous) for k in ("notice", "header", "menu", "advert", "form") if r.random() < 0.5]
+        after = [_boilerplate(r, k, anonymous) for k in ("share", "comment", "side", "advert", "notice", "form", "footer") if r.random() < 0.5]
         if r.random() < 0.1:
             before, after = [], []
         r.shuffle(before)
-        middle = _article(r)
+        middle = _article(r, anonymous)
         if r.random() < 0.4:
-            side = _boilerplate(r, "side")
+            side = _boilerplate(r, "side", anonymous)
             middle = f"<div>{r.choice((middle + side, side + middle))}</div>"
-        body = "".join([*before, middle, *after])
+        if anonymous and r.random() < 0.4:
+            body = "<table>" + "".join(f"<tr><td>{x}</td></tr>" for x in (*before, middle, *after)) + "</table>"
+        else:
+            body = "".join([*before, middle, *after])
         for _ in range(r.choice((0, 0, 1, 2))):
             body = f"<div{r.choice(('', ' class=wrapper', ' id=container'))}>{body}</div>"
         out.append(f"<html><body>{body}</body></html>")
