@@ -1,6 +1,7 @@
 """Licence scans (operator 5): matching statistics against a generalised suffix automaton of licence tokens.
 
-All templates' words are fed into one suffix automaton. A text's words are streamed through it; after each word the state
+Templates are the whole texts of public licences (folder licence_texts) and the notices by which files refer to them. All
+their words are fed into one suffix automaton. A text's words are streamed through it; after each word the state
 and the match length say how long a suffix of the text read so far stands in some template. Long matches are chained,
 in text and template order, into spans that cover a template; a span that covers enough of it gives the template's label.
 Base phrases are templates too: a phrase ends wherever its state lies on the suffix path of the current state and the
@@ -12,6 +13,8 @@ streamed; the rest of a text is passed over by array operations.
 
 from __future__ import annotations
 
+import pkgutil
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,10 +28,11 @@ from .common import arrow_map, in_chunks, table
 #: Phrases with the label that each place of one gives.
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
-#: Openings and notices of public licences, and the labels that their spans give.
-TEMPLATES = [
+#: Notices of public licences, and the labels that their spans give.
+NOTICES = [
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
+    ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
     ("apache-2", "licensed under the apache license version 2 0"),
     ("apache-2", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
@@ -39,12 +43,16 @@ TEMPLATES = [
     ("gpl-3", "this work is licensed under the gnu general public license version 3"),
     ("gpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license"),
     ("gpl-2", "licensed under the gnu general public license version 2"),
+    ("gpl-2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license"),
     ("lgpl", "licensed under the gnu lesser general public license"),
     ("agpl-3", "licensed under the gnu affero general public license version 3"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 ]
 
+#: Licences whose whole texts are templates; a file's name is its label.
+TEXTS = "apache-2 bsd-2 bsd-3 cc0 gpl-2 gpl-3 isc lgpl-2.1 mit mpl-2 unlicense zlib".split()
+
 #: Least match to take part in a chain, greatest gap (words) within a chain, share of a template that gives its label.
 LEAST_MATCH, MOST_GAP, LEAST_COVER = 3, 3, 0.75
 
@@ -56,25 +64,32 @@ def split_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
+@lru_cache(1)
+def production_templates() -> tuple[tuple[str, str], ...]:
+    """(label, words) of all notices and whole texts; read on the driver and sent along."""
+    read = lambda name: b" ".join(split_words(pkgutil.get_data(__package__, f"licence_texts/{name}.txt").decode())).decode()
+    return (*NOTICES, *((name, read(name)) for name in TEXTS))
+
+
 class Automaton:
     """Suffix automaton of several token sequences, with the phrases that end in each state."""
 
-    def __init__(self, sequences: list[list[int]]):
+    def __init__(self, sequences: list[list[int]], least: int = 1):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         for seq in sequences:
             last = 0
             for token in seq:
                 last = self._extend(last, token)
-        # places: for each state, (sequence, end position) pairs of its strings
-        self.places: list[list[tuple[int, int]]] = [[] for _ in self.next]
+        # places: for each state that can hold a match, the ends of its strings in each sequence, ascending
+        self.places: list[dict[int, list[int]]] = [{} for _ in self.next]
         for s, seq in enumerate(sequences):
             at = 0
             for i, token in enumerate(seq):
                 at = self.next[at][token]
                 v = at
-                while v > 0:
-                    self.places[v].append((s, i + 1))
+                while v > 0 and self.length[v] >= least:
+                    self.places[v].setdefault(s, []).append(i + 1)
                     v = self.link[v]
 
     def _extend(self, last: int, token: int) -> int:
@@ -126,13 +141,14 @@ class Automaton:
 class Scanner:
     """Automaton over base phrases and templates; base phrases come first."""
 
-    def __init__(self, base=BASE, templates=TEMPLATES):
+    def __init__(self, base=BASE, templates=None):
+        templates = production_templates() if templates is None else templates
         self.base, self.templates = base, templates
         sequences = [x.encode().split() for x, _ in base] + [x.encode().split() for _, x in templates]
         self.vocabulary = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for s in sequences for w in s))}
         self.sizes = [len(s) for s in sequences]
         coded = [[self.vocabulary[w] for w in s] for s in sequences]
-        self.auto = Automaton(coded)
+        self.auto = Automaton(coded, LEAST_MATCH)
         self.shortest = min(min(self.sizes[: len(base)], default=LEAST_MATCH), LEAST_MATCH)
         # phrases that are suffixes of a state's strings: those whose own state is on its suffix path
         own: dict[int, list[int]] = {}
@@ -170,42 +186,54 @@ class Scanner:
         return places, self._chain(matches)
 
     def _chain(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-        """Matches in the order of text and template, joined over small gaps; template words count once."""
+        """Chains of matches, (template, first word, end word, share), that don't overlap.
+
+        In each template on its own: a match that starts at most MOST_GAP words behind the open chain's end continues it if
+        the first of its places that ends behind the chain's place starts at most MOST_GAP words behind it in the template
+        as well. A match in reach that doesn't fit and is no longer than what the chain covers is passed over; any other
+        closes the chain and opens a new one at its first place. A template's words count once. Of chains that overlap in the text, the one that covers
+        most words of its template stays, of equals the greater share, the earlier, the first template. Time: matches by
+        templates that hold them, and a sort of the chains.
+        """
         open_: dict[int, list[int]] = {}  # template -> [first word, end word, template end, words covered]
         spans = []
         skip = len(self.base)
 
         def close(t: int) -> None:
             first, end, _, got = open_.pop(t)
-            spans.append((t - skip, first, end, got / self.sizes[t]))
+            spans.append((got, t - skip, first, end))
 
         for end, n, state in matches:
-            done: set[int] = set()
-            for t, at in self.auto.places[state]:
-                if t < skip or t in done:
+            for t, places in self.auto.places[state].items():
+                if t < skip:
                     continue
-                done.add(t)
                 if t in open_:
                     first, last, upto, got = open_[t]
-                    fresh = at - max(upto, at - n)
-                    if fresh > 0 and end - n <= last + MOST_GAP and at > upto:
-                        open_[t] = [first, end, at, got + fresh]
-                        continue
+                    if end - n <= last + MOST_GAP:
+                        k = bisect_right(places, upto)
+                        if k < len(places) and places[k] - n <= upto + MOST_GAP:
+                            open_[t] = [first, end, places[k], got + min(n, places[k] - upto)]
+                            continue
+                        if n <= got:
+                            continue
                     close(t)
-                open_[t] = [end - n, end, at, n]
+                open_[t] = [end - n, end, places[0], n]
         for t in list(open_):
             close(t)
-        # of spans over the same words, the one that covers most template words stays
-        best: list[tuple[int, int, int, float]] = []
-        for x in sorted(spans, key=lambda x: (-round(x[3] * self.sizes[x[0] + skip]), -x[3], x[1], x[0])):
-            if all(x[2] <= y[1] or y[2] <= x[1] for y in best):
-                best.append(x)
-        return sorted(best, key=lambda x: (x[1], x[0]))
+        spans.sort(key=lambda x: (-x[0], -x[0] / self.sizes[x[1] + skip], x[2], x[1]))
+        starts: list[int] = []  # of the chains that stay, in text order, and the chains
+        kept: list[tuple[int, int, int, float]] = []
+        for got, t, first, end in spans:
+            k = bisect_left(starts, first)
+            if (k == 0 or kept[k - 1][2] <= first) and (k == len(kept) or end <= starts[k]):
+                starts.insert(k, first)
+                kept.insert(k, (t, first, end, got / self.sizes[t + skip]))
+        return kept
 
 
-@lru_cache(1)
-def _scanner() -> Scanner:
-    return Scanner()
+@lru_cache(2)
+def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
+    return Scanner(templates=templates)
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
@@ -214,11 +242,13 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     score: greatest share of a template that a chained span covers, 1 where a base phrase stands; 0 to 1. spans: template
     spans that give a label (label, first word, end word, share). Null text is empty; texts without a place have null
     first_word and last_word and empty labels; repeated rows are scanned row by row; extra columns are ignored; an empty
-    table gives no rows. Memory: one slice of texts and the words of one.
+    table gives no rows. Very long and repetitive texts take time in proportion to their words. Memory: one slice of texts,
+    and the words and chains of one.
     """
+    templates = production_templates()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = _scanner()
+        scanner = _scanner(templates)
         names = [label for _, label in scanner.base]
         for batch in in_chunks(batches, "text"):
             rows = []

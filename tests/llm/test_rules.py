@@ -98,6 +98,79 @@ def test_matching_statistics(sequences, text):
         assert n == max((k for k in range(i + 1) if tuple(text[i - k : i]) in parts or k == 0), default=0)
 
 
+def maximal_matches(scanner, words):
+    """(end, length) of matches that the next word doesn't extend, by comparing all templates at all places."""
+    sequences = [x.split() for x, _ in scanner.base] + [x.split() for _, x in scanner.templates]
+    parts = {tuple(s[i:j]) for s in sequences for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
+    longest = [next((k for k in range(i, 0, -1) if tuple(words[i - k : i]) in parts), 0) for i in range(1, len(words) + 1)]
+    return [(i + 1, n) for i, n in enumerate(longest) if n >= licences.LEAST_MATCH and (i + 1 == len(words) or longest[i + 1] <= n)]
+
+
+def chained(scanner, words):
+    """Chains by the rule of the docstring, one template at a time."""
+    spans = []
+    for t, (_, text) in enumerate(scanner.templates):
+        template, now = text.split(), None
+        for end, n in maximal_matches(scanner, words):
+            piece = words[end - n : end]
+            places = [j for j in range(n, len(template) + 1) if template[j - n : j] == piece]
+            if not places:
+                continue
+            behind = [j for j in places if now and j > now[2]]
+            if now and end - n <= now[1] + licences.MOST_GAP:
+                if behind and behind[0] - n <= now[2] + licences.MOST_GAP:
+                    now = (now[0], end, behind[0], now[3] | set(range(behind[0] - n, behind[0])))
+                    continue
+                if n <= len(now[3]):
+                    continue
+            if now:
+                spans.append((len(now[3]), t, now[0], now[1]))
+            now = (end - n, end, places[0], set(range(places[0] - n, places[0])))
+        if now:
+            spans.append((len(now[3]), t, now[0], now[1]))
+    kept = []
+    for got, t, first, end in sorted(spans, key=lambda x: (-x[0], -x[0] / len(scanner.templates[x[1]][1].split()), x[2], x[1])):
+        if all(end <= a or b <= first for _, a, b, _ in kept):
+            kept.append((t, first, end, got / len(scanner.templates[t][1].split())))
+    return sorted(kept, key=lambda x: x[1])
+
+
+SMALL = licences.Scanner(templates=(("one", "the work may be used by the work under these terms of the work"), ("two", "these terms of use may be read"), ("three", "the work may be read by all under these terms")))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["the work may be", "used by the work", "under these terms", "of the work", "of use may be", "read", "by all", "zebra", "the", "these terms", "x y", "x y z w"]), max_size=14))
+def test_chains_match_the_plain_rule(pieces):
+    words = " ".join(pieces).split()
+    _, got = SMALL.scan([w.encode() for w in words])
+    assert got == chained(SMALL, words)
+
+
+@pytest.mark.parametrize("name", licences.TEXTS)
+def test_whole_licences_are_recognised(name):
+    """Whole text, the text in other words' company, and with a word of every forty changed."""
+    label_of = lambda words: sorted({scanner.templates[t][0] for t, _, _, share in scanner.scan(words)[1] if share >= licences.LEAST_COVER})
+    scanner = licences._scanner(licences.production_templates())
+    words = dict(licences.production_templates())[name].encode().split()
+    assert label_of(words) == [name]
+    noise = [b"zebra%d" % i for i in range(500)]
+    assert label_of(noise + words + noise) == [name]
+    assert label_of([b"other" if i % 40 == 7 else w for i, w in enumerate(words)]) == [name]
+    assert label_of(words[: len(words) // 3]) != [name] or len(words) < 120
+
+
+@pytest.mark.parametrize("piece", ["licensed under cc by nc 4 0 ", "the software is provided as is ", "of the work and the ", "a " * 50, "permission is hereby granted free of charge x "])
+def test_two_megabytes_of_licence_lines_take_seconds(piece):
+    import time
+
+    scanner = licences._scanner(licences.production_templates())
+    words = licences.split_words(piece * (2_000_000 // len(piece)))
+    began = time.perf_counter()
+    places, spans = scanner.scan(words)
+    assert time.perf_counter() - began < 30
+    assert all(a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+
+
 # mixing
 
 def test_exponent_meets_entropy_and_repetition():
