@@ -25,14 +25,14 @@ def blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
 def against_all(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Groups (key, lo, hi) in which each member with ``odd`` meets every member of its key once.
 
-    sizes(key, size, odds). A key of at most BLOCK members is one group, its members on both sides (side 2). In a larger
+    sizes(key, size, odds). A key of at most BLOCK members is one group, its odd members on both sides (side 2). In a larger
     one, odd members are cut into blocks lo (side 0), all members into blocks hi (side 1), and each pair of blocks is a
-    group; members that are not odd meet only odd ones, so a key that is nearly one piece stays cheap at any size.
+    group; members that are not odd (side 1) meet only odd ones, so a key that is nearly one piece stays cheap at any size.
     """
     cut = members.join(small(sizes), "key").withColumns({"his": F.ceil(F.col("size") / BLOCK).cast("int"), "los": F.ceil(F.col("odds") / BLOCK).cast("int")})
     draw = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n).cast("long")).cast("int")
     kept = [c for c in members.columns if c != "odd"]
-    whole = cut.where("his = 1").select(*kept, F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(2).alias("side"))
+    whole = cut.where("his = 1").select(*kept, F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.when(F.col("odd"), 2).otherwise(1).alias("side"))
     all_ = cut.where("his > 1").select(*kept, F.explode(F.sequence(F.lit(0), F.col("los") - 1)).alias("lo"), draw("his", 5).alias("hi"), F.lit(1).alias("side"))
     odd = cut.where("his > 1 AND odd").select(*kept, draw("los", 11).alias("lo"), F.explode(F.sequence(F.lit(0), F.col("his") - 1)).alias("hi"), F.lit(0).alias("side"))
     return whole.unionByName(all_).unionByName(odd)

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
-import tempfile
-import uuid
+import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
 
@@ -14,38 +11,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.storage import discard, shared_dir, stored, stored_bytes
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["discard", "shared_dir"]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if known:
-        return known.rstrip("/")
-    made = getattr(spark, "_ledgerlight_shared", None)
-    if made is None:
-        folder = tempfile.mkdtemp(prefix="ledgerlight-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        made = spark._ledgerlight_shared = "file://" + folder
-    return made
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, has known statistics."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._ledgerlight_path = path
-    if _SCRATCH:
-        _SCRATCH[-1].append(out)
+    out = stored(df, tag)
+    if _SCRATCH.open:
+        _SCRATCH.open[-1].append(out)
     return out
 
 
-#: Tables written inside each open scratch(), innermost last.
-_SCRATCH: list[list[DataFrame]] = []
+class _Scratch(threading.local):
+    """Tables written inside each open scratch() of a thread, innermost last."""
+
+    def __init__(self) -> None:
+        self.open: list[list[DataFrame]] = []
+
+
+_SCRATCH = _Scratch()
 
 
 @contextmanager
@@ -53,45 +43,32 @@ def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Tables that are materialized inside are deleted at the end, except those that keep() is called with: what is
     returned must have been written by then, or rest on kept tables alone."""
     tables: list[DataFrame] = []
-    _SCRATCH.append(tables)
+    _SCRATCH.open.append(tables)
 
     def keep(df: DataFrame) -> DataFrame:
         if any(df is t for t in tables):
             tables[:] = [t for t in tables if t is not df]
-            if len(_SCRATCH) > 1:
-                _SCRATCH[-2].append(df)
+            if len(_SCRATCH.open) > 1:
+                _SCRATCH.open[-2].append(df)
         return df
 
     try:
         yield keep
     finally:
-        _SCRATCH.pop()
+        _SCRATCH.open.pop()
         for df in tables:
             discard(df)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what materialize() wrote, once nothing reads it any more."""
-    path = getattr(df, "_ledgerlight_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
-
-
 #: A table is broadcast if its files are at most this large; unpacked it is a few times that.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 4 << 20
 
 
 def small(df: DataFrame) -> DataFrame:
     """df, marked for broadcast if it was materialized and its files are measured to be small; else as it is, and Spark
     joins by shuffle, splitting skewed keys."""
-    path = getattr(df, "_ledgerlight_path", None)
-    if path is None:
-        return df
-    where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    size = where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    size = stored_bytes(df)
+    return F.broadcast(df) if size is not None and size <= BROADCAST_BYTES else df
 
 
 def write_bytes(spark: SparkSession, name: str, data: bytes) -> str:

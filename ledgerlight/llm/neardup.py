@@ -7,22 +7,28 @@
    n pairs, not n * n.
 4. An odd sketch, the parity bitmap of the samples, is XORed for each pair; the population count estimates the
    similarity. Pairs too far below the threshold for chance are dropped; the others make families by distributed
-   contraction. Buckets that hold members of several families are compared in blocks by sketch, which joins families, so
-   that no link is lost by the choice in 3.
-5. A family's members bring their full shingle sets together once. In families of more than BLOCK members the pairs of 3
+   contraction. In buckets that hold several families, the members outside the largest one are held against all members,
+   in blocks by sketch, which joins families, so that no link is lost by the choice in 3.
+5. A bucket in which more than BLOCK members lie outside its largest family is crowded: pages of one template share the
+   template's bands and are far apart. Its members meet by two keys at a time, the bucket's and that of another crowded
+   bucket of theirs, and where that is crowded as well by three, and so on; similar texts share many keys, texts of one
+   template few. So members are compared with a bounded number of others, whatever the size of the bucket.
+6. A family's members bring their full shingle sets together once. In families of more than BLOCK members the pairs of 3
    are confirmed first; then each member outside the main component, in smaller families every member, is held against
    the family in blocks: near ones by sketch, nearest first, are confirmed until they are connected. A block emits at most
-   a link per member.
-6. Links become components by distributed contraction.
+   a link per member. Families in which more than BLOCK members are left are worked bucket by bucket, as in 5.
+7. Links become components by distributed contraction.
 
 Band layout: BANDS * ROWS samples; a pair of similarity 0.8 shares no key with probability below 1e-6, one of 0.85 below
-1e-9.
+1e-9; if all buckets of such a pair are crowded, it doesn't share two of them with probability 1.2e-5 and 2e-8. A pair at
+the threshold has sketches that differ too much with probability 1e-7.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +41,9 @@ from .common import arrow_map, in_chunks, materialize, scratch, small, table
 from .components import connected_components, with_components
 
 BANDS, ROWS = 36, 5
-SKETCH_BITS = 512
+SKETCH_BITS = 1024
+#: Most keys that members of crowded buckets meet by; what is crowded even then is compared in blocks, all against all.
+MOST_KEYS = 6
 _rng = np.random.default_rng(20240229)
 _FLIP = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _MULT = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -110,12 +118,14 @@ def similarity_from(flipped: float) -> float:
     return max(0.0, 1 - differing / (BANDS * ROWS))
 
 
-def most_flipped(threshold: float, sigmas: float = 6.0) -> int:
-    """XOR population count that a pair at the threshold exceeds with negligible probability."""
+def most_flipped(threshold: float, sigmas: float = 5.2) -> int:
+    """XOR population count that a pair at the threshold exceeds with negligible probability: a normal bound over the spread
+    of the samples that differ and of the bits that they share."""
     k = BANDS * ROWS
-    lost = k * (1 - threshold) + sigmas * math.sqrt(k * threshold * (1 - threshold))
-    mean = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * lost))
-    return math.ceil(mean + sigmas * math.sqrt(mean * 0.1 + 1))
+    lost, spread = k * (1 - threshold), math.sqrt(k * threshold * (1 - threshold))
+    flipped = lambda n: SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * n))
+    deviation = math.sqrt((flipped(lost + spread) - flipped(lost)) ** 2 + 0.15 * flipped(lost) + 1)
+    return math.ceil(flipped(lost) + sigmas * deviation)
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -157,32 +167,14 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("both") >= percent * (F.size("ma") + F.size("mb") - F.col("both"))).select("a", "b")
 
 
-class _Forest:
-    """Components of the members of a group; says which links join two of them."""
-
-    def __init__(self) -> None:
-        self.root: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        while self.root.setdefault(x, x) != x:
-            self.root[x] = self.root[self.root[x]]
-            x = self.root[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        a, b = self.find(x), self.find(y)
-        self.root[a] = b
-        return a != b
-
-
 def _linked(limit: int, percent: int, exact: bool):
     """Links between components in each group, at most one fewer than its components: pairs near by size and sketch, and
     if exact, confirmed on their full sets, the nearest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group(batches):
-            ids, component = (group.column(c).to_pylist() for c in ("id", "component"))
-            n, side = (group.column(c).to_numpy() for c in ("n", "side"))
+            ids, n, side = (group.column(c).to_numpy() for c in ("id", "n", "side"))
+            _, label = np.unique(group.column("component").to_numpy(), return_inverse=True)
             sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
             sets: dict[int, np.ndarray] = {}
             members = group.column("members") if exact else None
@@ -192,28 +184,28 @@ def _linked(limit: int, percent: int, exact: bool):
                     sets[i] = members[i].values.to_numpy()
                 return sets[i]
 
-            forest = _Forest()
+            def similar(i: int, j: int) -> bool:
+                one, two = full(i), full(j)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                return 100 * both >= percent * (len(one) + len(two) - both)
+
             links: list[tuple[int, int]] = []
+            place = np.arange(len(n))
             for i in np.flatnonzero(side != 1).tolist():
-                some = 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
-                some &= side != 0
+                some = (label != label[i]) & (side != 0) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
                 if side[i] == 2:
-                    some[: i + 1] = False
+                    some &= (side == 1) | (place > i)
                 at = np.flatnonzero(some)
                 flipped = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1)
-                for k in np.argsort(flipped, kind="stable").tolist():
-                    if flipped[k] > limit:
-                        break
-                    j = int(at[k])
-                    if ids[i] == ids[j] or forest.find(component[i]) == forest.find(component[j]):
+                at = at[np.argsort(flipped, kind="stable")][: int((flipped <= limit).sum())]
+                while len(at):
+                    j = int(at[0])
+                    if exact and not similar(i, j):
+                        at = at[1:]
                         continue
-                    if exact:
-                        one, two = full(i), full(j)
-                        both = len(np.intersect1d(one, two, assume_unique=True))
-                        if 100 * both < percent * (len(one) + len(two) - both):
-                            continue
-                    forest.join(component[i], component[j])
-                    links.append((ids[i], ids[j]))
+                    label[label == label[j]] = label[i]
+                    links.append((int(ids[i]), int(ids[j])))
+                    at = at[label[at] != label[i]]
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
@@ -225,6 +217,33 @@ def _grouped(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return against_all(members, sizes).repartition(*parts).sortWithinPartitions(*parts)
 
 
+def _outside(groups: DataFrame) -> DataFrame:
+    """(key, size, main, odds) of the keys that hold several components: the largest one, and the members outside it."""
+    parts = groups.groupBy("key", "component").agg(F.count("*").alias("n"))
+    stats = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("size")).where("size > main.n")
+    return materialize(stats.select("key", "size", F.col("main.component").alias("main"), (F.col("size") - F.col("main.n")).alias("odds")), "several")
+
+
+def _meetings(groups: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """members(key, id, component, odd) and sizes(key, size, odds) such that any two members of groups(key, id, component)
+    that share a key and differ in component meet: by a key that is not crowded, or by several crowded ones."""
+    own = None
+    for level in range(1, MOST_KEYS + 1):
+        several = _outside(groups)
+        crowded = F.col("odds") > (BLOCK if level < MOST_KEYS else 1 << 62)
+        easy = small(several).where(~crowded)
+        yield groups.select("key", "id", "component").join(easy.select("key", "main"), "key").withColumn("odd", F.col("component") != F.col("main")).drop("main"), easy.select("key", "size", "odds")
+        hard = several.where(crowded)
+        if hard.isEmpty():
+            return
+        rows = materialize(groups.join(small(several).where(crowded).select("key"), "key", "left_semi"), "crowded")
+        if own is None:
+            own = materialize(rows.groupBy("id").agg(F.collect_set("key").alias("keys")), "crowded-keys")  # at most one key a band
+            rows = rows.withColumn("last", F.col("key"))
+        longer = rows.join(own, "id").select("id", "component", "key", F.explode(F.filter("keys", lambda k: k > F.col("last"))).alias("last"))
+        groups = materialize(longer.select(F.xxhash64("key", "last").alias("key"), "id", "component", "last"), "by-more-keys")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs.
 
@@ -272,11 +291,9 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     # families: components of pairs that are near by sketch; buckets that hold several are compared in blocks
     families = connected_components(near)
     placed = materialize(with_components(members.select("key", "id"), families, "id", "component"), "placed")
-    several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size", F.col("size").alias("odds"))
-    several = materialize(several, "several")
-    rest = placed.join(small(several).select("key"), "key", "left_semi").join(small(known), "id").withColumn("odd", F.lit(True))
-    more = materialize(arrow_map(_grouped(rest, several), _linked(limit, percent, False), "a long, b long").distinct(), "near")
-    families = connected_components(near.union(more))
+    sketched = small(known)
+    more = [arrow_map(_grouped(group.join(sketched, "id"), sizes), _linked(limit, percent, False), "a long, b long") for group, sizes in _meetings(placed)]
+    families = connected_components(reduce(DataFrame.union, more, near))
 
     # every link lies in a family: confirm on full sets
     docs = rows.withColumnRenamed("doc_id", "id")
@@ -291,9 +308,15 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     main = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("size"))
     main = main.select("key", "size", F.when(F.col("size") > BLOCK, F.col("main.component")).alias("main"), F.when(F.col("size") > BLOCK, F.col("size") - F.col("main.n")).otherwise(F.col("size")).alias("odds"))
     main = materialize(main.where("odds > 0"), "main")
-    inner = inner.join(small(main).select("key", "main"), "key").withColumn("odd", ~F.col("component").eqNullSafe(F.col("main"))).drop("main")
-    inner = inner.join(small(known), "id").join(sets, "id")
-    return first.union(arrow_map(_grouped(inner, main), _linked(limit, percent, True), "a long, b long"))
+    crowded = F.col("odds") > BLOCK
+    easy = inner.join(small(main).where(~crowded).select("key", "main"), "key").withColumn("odd", ~F.col("component").eqNullSafe(F.col("main"))).drop("main")
+    confirmed = lambda group, sizes: arrow_map(_grouped(group.join(sketched, "id").join(sets, "id"), sizes), _linked(limit, percent, True), "a long, b long")
+    links = [confirmed(easy, small(main).where(~crowded).select("key", "size", "odds"))]
+    if not main.where(crowded).isEmpty():
+        apart = inner.join(small(main).where(crowded).select("key"), "key", "left_semi").withColumnRenamed("key", "family")
+        shared = members.select("key", "id").join(apart, "id").select(F.xxhash64("key", "family").alias("key"), "id", "component")
+        links += [confirmed(group, sizes) for group, sizes in _meetings(materialize(shared, "apart"))]
+    return reduce(DataFrame.union, links, first)
 
 
 def _flipped(limit: int):
@@ -314,16 +337,29 @@ def _flipped(limit: int):
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One row of docs for each component, that of the smallest doc_id; rows with null doc_id all stay. Columns are docs'."""
-    judged = near_duplicates(docs, width, percent).where("doc_id IS NOT NULL")
+    """One row of docs for each component: that of the smallest doc_id, rows without one last. Columns are docs'.
+
+    Rows with null doc_id, and rows whose doc_id stands for several texts, are documents of their own by doc_id and text, so
+    different texts are never dropped for their ids. Of rows that are equal in doc_id and text one stays, the first by a
+    hash of all its columns. Texts without a word, null ones included, link with nothing. An empty table gives no rows.
+    """
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("n__row"), F.col("doc_id").cast("long").alias("n__doc"), F.col("text").cast("string").alias("n__body"))
+    texts = inner.select("n__doc", F.xxhash64("n__body").alias("h")).groupBy("n__doc").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    unclear = materialize(texts.where("n__doc IS NULL OR lo <> hi").select(F.col("n__doc").alias("n__unclear"), F.lit(True).alias("n__many")), "unclear-ids")
+    if unclear.isEmpty():
+        inner = inner.withColumn("n__node", F.col("n__doc"))
+    else:  # above all usual ids, so that these name a component
+        own = F.xxhash64("n__doc", "n__body").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+        inner = inner.join(small(unclear), F.col("n__doc").eqNullSafe(F.col("n__unclear")), "left").withColumn("n__node", F.when(F.col("n__many"), own).otherwise(F.col("n__doc")))
+    judged = near_duplicates(inner.select(F.col("n__node").alias("doc_id"), F.col("n__body").alias("text")), width, percent)
     verdicts = judged.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("copies"))
     marked = materialize(verdicts.where("NOT kept OR copies > 1").withColumnRenamed("doc_id", "n__id"), "verdicts")
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("n__row"), F.col("doc_id").cast("long").alias("n__doc"))
-    same = F.col("n__doc") == F.col("n__id")
-    left = inner.join(small(marked).select("n__id"), same, "left_anti")
+    same = F.col("n__node") == F.col("n__id")
+    left = inner.select("n__row", "n__node").join(small(marked).select("n__id"), same, "left_anti")
     repeated = small(marked).where("kept").select("n__id")
-    if not repeated.isEmpty():  # several rows of one doc_id: one of them stays
-        left = left.unionByName(inner.join(repeated, same, "left_semi").dropDuplicates(["n__doc"]))
+    if not repeated.isEmpty():
+        again = inner.select("n__row", "n__node").join(repeated, same, "left_semi").withColumn("h", F.xxhash64("n__row"))
+        left = left.unionByName(again.groupBy("n__node").agg(F.min_by("n__row", "h").alias("n__row")).select("n__row", "n__node"))
     return left.select(*[F.col("n__row").getField(c).alias(c) for c in docs.columns])
 
 

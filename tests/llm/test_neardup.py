@@ -88,12 +88,41 @@ def test_large_families_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 3, 85).collect()} == want
 
 
+def templated(n, seed=4):
+    """Pages of one template, 60 words of it and 24 of their own, nothing to link but a near copy of every fiftieth."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    template = " ".join(word() for _ in range(60))
+    rows = [(i, f"{template} {' '.join(word() for _ in range(24))}") for i in range(n)]
+    return rows + [(100_000 + i, rows[i][1] + " z") for i in range(0, n, 50)]
+
+
+def test_pages_of_a_template_meet_by_several_keys(spark, monkeypatch):
+    from ledgerlight.llm import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK", 32)
+    monkeypatch.setattr(neardup, "BLOCK", 32)
+    levels = []
+    real = neardup._outside
+    monkeypatch.setattr(neardup, "_outside", lambda groups: levels.append(1) or real(groups))
+    rows = templated(1500)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == {i: i - 100_000 if i >= 100_000 else i for i, _ in rows}
+    assert len(levels) >= 3
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f"), (3, "other words are in this one")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect()), key=str)
     assert got == sorted([(1, 1, True), (1, 1, True), (None, None, False), (2, 1, False), (3, 3, True)], key=str)
     left = neardup.drop_near_duplicates(docs).collect()
-    assert sorted((str(r.doc_id) for r in left)) == ["1", "3", "None"]
+    assert sorted((str(r.doc_id) for r in left)) == ["1", "3"]
+    rows = [(1, "one text of several words here", "x"), (1, "another text that has nothing to do with it", "y"), (1, "another text that has nothing to do with it", "z"), (None, "words of a row without id", "x"), (None, "words of a row without id", "x"), (None, "One text of several WORDS here", "w"), (None, None, "n"), (4, "", "e")]
+    some = spark.createDataFrame(rows, "doc_id long, text string, n__row string")
+    kept = [tuple(r) for r in neardup.drop_near_duplicates(some).collect()]
+    assert len(kept) == 5 and {t and t.lower() for _, t, _ in kept} == {"one text of several words here", "another text that has nothing to do with it", "words of a row without id", None, ""}
+    assert sorted(kept, key=str) == sorted((tuple(r) for r in neardup.drop_near_duplicates(some.repartition(3)).collect()), key=str)
     assert neardup.near_duplicates(docs.limit(0)).collect() == [] and neardup.drop_near_duplicates(docs.limit(0)).collect() == []
 
 
