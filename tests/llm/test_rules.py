@@ -203,6 +203,48 @@ def test_mixture_repeats_small_sources_and_loses_none(mixed):
         assert after[s] <= 1.5 * before[s] + 1
 
 
+@pytest.mark.parametrize(("options", "tokenizer"), [({"max_epochs": 1.5, "block_tokens": 200}, False), ({"max_epochs": None, "target_entropy": 0.9, "budget": 1500, "block_tokens": 100}, False), ({"max_epochs": 3.0, "block_tokens": 500}, True)])
+def test_the_plan_is_the_plain_one(mixed, options, tokenizer):
+    """Blocks, permutations and the budget's end, one source and one document after the other."""
+    from ledgerlight.llm import tokens
+
+    path = tokens.default_path() if tokenizer else None
+    keyed = mixed.select("doc_id", "source", "text", F.xxhash64("doc_id", "text", F.lit(17)).alias("h")).withColumn("place", F.xxhash64("h")).collect()
+    size = lambda t: len(tokens.encoder(path).ids(t or "")) if path else len((t or "").split())
+    totals = collections.Counter()
+    for r in keyed:
+        totals[r.source] += size(r.text)
+    names = sorted(totals, key=lambda x: (x is not None, x or ""))
+    exponent = mixing.choose_exponent([totals[s] for s in names], options.get("max_epochs"), options.get("target_entropy"), options.get("budget"))
+    turns = dict(zip(names, mixing.epochs([totals[s] for s in names], exponent, options.get("budget"))))
+    blocks = {s: max(1, -(-totals[s] // options["block_tokens"])) for s in names}
+    pairs = sorted({(r.h % blocks[r.source], e) for r in keyed for e in range(4)})
+    spark = mixed.sparkSession
+    hashed = {(r.b, r.e): r.x for r in spark.createDataFrame(pairs, "b long, e int").select("b", "e", F.xxhash64("b", "e", F.lit(17)).alias("x")).collect()}
+    want = []
+    for s in names:
+        own = [r for r in keyed if r.source == s]
+        whole = int(turns[s] + 1e-9)
+        left = round((turns[s] - whole) * totals[s]) if turns[s] > whole else 0
+        for e in range(whole + 1):
+            order = sorted({r.h % blocks[s] for r in own}, key=lambda b: (hashed[b, e], b))
+            for rank, b in enumerate(order, 1):
+                docs = sorted((r for r in own if r.h % blocks[s] == b), key=lambda r: r.place)
+                n = sum(size(r.text) for r in docs)
+                if e < whole:
+                    want += [(r.doc_id, s, e, b, rank) for r in docs]
+                elif 0 < left:
+                    room, upto, fits = left, 0, []
+                    for place in sorted({r.place for r in docs}):
+                        upto += sum(size(r.text) for r in docs if r.place == place)
+                        if n <= room or upto <= room:
+                            fits.append(place)
+                    want += [(r.doc_id, s, e, b, rank) for r in docs if r.place in fits]
+                    left -= n
+    got = [(r.doc_id, r.source, r.mix_epoch, r.mix_block, r.mix_rank) for r in mixing.mix(mixed, tokenizer=path, **options).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_budget_reads_sources_in_part(mixed, spark):
     out = mixing.mix(mixed, max_epochs=None, target_entropy=0.9, budget=1500, block_tokens=100)
     assert 1500 - 60 <= out.agg(F.sum(mixing.n_words(F.col("text")))).first()[0] <= 1500
