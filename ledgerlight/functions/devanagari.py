@@ -16,16 +16,16 @@ GLYPHS = {
     " ": " ", "!": "!", "$": "ॐ", "%": "ऽ", "&": "ः", "'": ",", "(": "(", ")": ")", "*": "ा", "+": "अ",
     ",": ",", "-": "-", ".": ".", "/": "/", "0": "0", "1": "1", "2": "2", "3": "3", "4": "4", "5": "5", "6": "6", "7": "7", "8": "8", "9": "9",
     ":": ":", ";": ";", "<": "इ", "=": "उ", ">": "ऊ", "?": "?", "@": "ऋ", "A": "ॠ", "B": "ए",
-    "C": "क" + V, "E": "क" + V, "F": "क़" + V, "G": "क" + V + "र" + V, "H": "क" + V + "त" + V, "I": "क" + V + "ष" + V,
-    "J": "ख" + V, "K": "ख़" + V, "L": "ख़" + V, "M": "ग" + V, "N": "ग़" + V, "O": "ग" + V + "र" + V, "P": "घ" + V, "Q": "घ़" + V,
-    "S": "च" + V, "U": "छ" + V, "V": "ज" + V, "W": "ज़" + V, "Y": "ज" + V + "ञ" + V, "Z": "झ" + V, "]": "ट" + V, "`": "ठ" + V,
-    "b": "ड" + V, "c": "ड़" + V, "f": "ढ" + V, "g": "ढ़" + V, "h": "ण" + V, "i": "त" + V, "j": "त" + V + "र" + V, "k": "त" + V + "त" + V,
-    "l": "थ" + V, "n": "द" + V, "o": "द" + V + "र" + V, "p": "द" + V + "र" + V, "q": "द" + V + "द" + V, "r": "द" + V + "ध" + V,
-    "s": "ब" + V + "र" + V, "t": "द" + V + "य" + V, "u": "द" + V + "व" + V, "v": "ध" + V, "x": "न" + V, "z": "न" + V + "न" + V,
-    "{": "प" + V, "|": "प" + V + "र" + V, "}": "फ" + V, "\xa1": "फ" + V, "\xa2": "फ़" + V, "\xa3": "फ" + V + "र" + V, "\xa4": "ब" + V,
-    "\xa5": "ब" + V + "र" + V, "\xa6": "भ" + V, "\xa8": "म" + V, "\xaa": "य" + V, "\xae": "र", "\xaf": "र", "\xb0": "र", "\xb1": "ल" + V,
-    "\xb4": "व" + V, "\xb6": "श" + V, "\xb7": "श" + V + "व" + V, "\xb8": "श" + V + "र" + V, "\xb9": "ष" + V, "\xba": "स" + V, "\xbb": "स" + V + "र" + V,
-    "\xbd": "ह" + V, "\xc0": "ह" + V + "म" + V, "\xc2": V, "\xc3": "", "\xc4": "ँ", "\xc5": "ँ", "\xc6": "ं", "\xc7": REPHA, "\xc8": REPHA, "\xc9": "ा",
+    "C": "क्", "E": "क्", "F": "क़्", "G": "क्र्", "H": "क्त्", "I": "क्ष्",
+    "J": "ख्", "K": "ख़्", "L": "ख़्", "M": "ग्", "N": "ग़्", "O": "ग्र्", "P": "घ्", "Q": "घ़्",
+    "S": "च्", "U": "छ्", "V": "ज्", "W": "ज़्", "Y": "ज्ञ्", "Z": "झ्", "]": "ट्", "`": "ठ्",
+    "b": "ड्", "c": "ड़्", "f": "ढ्", "g": "ढ़्", "h": "ण्", "i": "त्", "j": "त्र्", "k": "त्त्",
+    "l": "थ्", "n": "द्", "o": "द्र्", "p": "द्र्", "q": "द्द्", "r": "द्ध्",
+    "s": "ब्र्", "t": "द्य्", "u": "द्व्", "v": "ध्", "x": "न्", "z": "न्न्",
+    "{": "प्", "|": "प्र्", "}": "फ्", "\xa1": "फ्", "\xa2": "फ़्", "\xa3": "फ्र्", "\xa4": "ब्",
+    "\xa5": "ब्र्", "\xa6": "भ्", "\xa8": "म्", "\xaa": "य्", "\xae": "र", "\xaf": "र", "\xb0": "र", "\xb1": "ल्",
+    "\xb4": "व्", "\xb6": "श्", "\xb7": "श्व्", "\xb8": "श्र्", "\xb9": "ष्", "\xba": "स्", "\xbb": "स्र्",
+    "\xbd": "ह्", "\xc0": "ह्म्", "\xc2": "्", "\xc3": "", "\xc4": "ँ", "\xc5": "ँ", "\xc6": "ं", "\xc7": REPHA, "\xc8": REPHA, "\xc9": "ा",
     "\xca": "ि", "\xcb": "िं", "\xcc": I_REPHA, "\xcd": "िं", "\xce": "ि", "\xcf": "िं", "\xd2": "ी", "\xd3": "ीं", "\xd4": "ी" + REPHA,
     "\xd6": "ु", "\xda": "ू", "\xde": "ृ", "\xe0": "े", "\xe4": "े", "\xe5": "ें", "\xe6": "े" + REPHA, "\xe7": "ें" + REPHA, "\xe8": "ै",
     "\xe9": "ैं", "\xea": "ै" + REPHA, "\xeb": "ं" + REPHA, "\xec": "ॉ", "\xf0": "", "\xf1": "", "\xf2": "ा", "\xf4": "ा", "\xf5": "ा", "\xf6": "ा",

@@ -337,6 +337,10 @@ def scalar(algorithm: str = DEFAULT_ALGORITHM) -> Callable[[str, str | None], fl
     return _known(algorithm)[1]
 
 
+def batch(algorithm: str = DEFAULT_ALGORITHM) -> Many:
+    return _known(algorithm)[2]
+
+
 def score(candidate: Column, query: str, algorithm: str = DEFAULT_ALGORITHM) -> Column:
     """Score of a column against a literal query. A null candidate counts as empty. Equal strings of a batch are scored
     once. Marked nondeterministic, so that a filter on the score doesn't score the rows again."""

@@ -38,6 +38,11 @@ def coverage(index: DataFrame, state: str, totals: DataFrame) -> DataFrame:
     return out.select(state, "total", F.coalesce("digitized", F.lit(0)).alias("digitized"), level.alias("locality_coverage"))
 
 
+def totals(index: DataFrame, state: str) -> DataFrame:
+    """(state, areas, rows_n): areas with a file and their rows."""
+    return index.groupBy(state).agg(F.count("*").alias("areas"), F.sum("row_count").alias("rows_n"))
+
+
 def locality_catalog(rows: DataFrame, keys: list[str], locality: str = "locality") -> DataFrame:
     """Distinct non-empty localities per area; writing them again changes nothing."""
     return rows.where(has_value(locality)).select(*keys, locality).distinct()
@@ -57,13 +62,22 @@ def table_path(out: str, contract: str = CONTRACT, patch: int = PATCH) -> str:
 
 
 def finished(spark: SparkSession, out: str, contract: str = CONTRACT, patch: int = PATCH) -> DataFrame | None:
-    """Areas that a manifest calls complete; None where there is no readable manifest."""
+    """(state, ac_code) of the areas that the manifest calls complete and whose data files hold as many readable rows as it
+    says; None where there is no readable manifest. Files that can't be read count as missing, so their areas are built
+    again. Only file footers are read for the counts."""
     from pyspark.errors import AnalysisException
 
+    path, keys = table_path(out, contract, patch), ["state", "ac_code"]
     try:
-        return spark.read.parquet(f"{table_path(out, contract, patch)}.manifest")
+        said = spark.read.parquet(f"{path}.manifest").groupBy(*keys).agg(F.max_by("row_count", "written").alias("row_count"))
     except AnalysisException:
         return None
+    try:
+        table = spark.read.option("ignoreCorruptFiles", True).schema("id long, state string, ac_code string").parquet(path)
+    except AnalysisException:  # only empty areas so far
+        return said.where("row_count = 0").select(*keys)
+    found = table.groupBy(*keys).agg(F.count("*").alias("found"))
+    return said.join(found, keys, "left").where(F.coalesce("found", F.lit(0)) == F.col("row_count")).select(*keys)
 
 
 def publish(rows: DataFrame, files: DataFrame, out: str, contract: str = CONTRACT, patch: int = PATCH) -> DataFrame:
@@ -83,9 +97,11 @@ def publish(rows: DataFrame, files: DataFrame, out: str, contract: str = CONTRAC
     place = Window.partitionBy(*keys).orderBy("file", "line")
     fresh = rows.join(todo, keys, "left_semi").withColumn("id", F.row_number().over(place).cast("long"))
     chosen = fresh.select(*[c for c in ROLL_COLUMNS if c in fresh.columns]).sortWithinPartitions(*keys, "part_no", "serial_no")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    chosen.write.mode("overwrite").partitionBy(*keys).parquet(table_path(out, contract, patch))
-    todo.write.mode("append").parquet(f"{table_path(out, contract, patch)}.manifest")
+    path = table_path(out, contract, patch)
+    chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    counts = spark.read.schema("id long, state string, ac_code string").parquet(path).join(todo, keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("row_count"))
+    manifest = todo.join(counts, keys, "left").select(*keys, F.coalesce("row_count", F.lit(0)).alias("row_count"), F.current_timestamp().alias("written"))
+    manifest.write.mode("append").parquet(f"{table_path(out, contract, patch)}.manifest")
     return todo
 
 
@@ -113,7 +129,6 @@ def migrate(spark: SparkSession, out: str, states: list[str], contract: str = CO
     old = spark.read.parquet(table_path(out, contract, patch))
     missing = sum(old.where(F.col("state").isin(states) & F.col(f"{c}_latin").isNull() & (F.col(c) != "")).select(c).distinct().count() for c in ("full_name", "full_relative_name"))
     fill_latin(old, states).select(*old.columns).write.mode("overwrite").partitionBy("state", "ac_code").parquet(table_path(out, contract, patch + 1))
-    done = finished(spark, out, contract, patch)
-    if done is not None:
-        done.write.mode("overwrite").parquet(f"{table_path(out, contract, patch + 1)}.manifest")
+    if finished(spark, out, contract, patch) is not None:
+        spark.read.parquet(f"{table_path(out, contract, patch)}.manifest").write.mode("overwrite").parquet(f"{table_path(out, contract, patch + 1)}.manifest")
     return missing

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import scorers
 
-from .distinctmap import map_distinct
+from .distinctmap import latin_form, map_distinct
 
 #: Most areas of one search; defaults of search and verification.
 MAX_AREAS, MIN_SCORE, LIMIT, AGE_TOLERANCE = 5, 70.0, 20, 3
@@ -77,16 +82,48 @@ def score_once(rows: DataFrame, queries: list[str | None], columns: list[str], a
     return out.drop(*[f"s__{i}" for i in range(len(asked))], *[f"s__score{i}" for i in range(len(asked))])
 
 
+def score_by_group(rows: DataFrame, queries: list[str | None], columns: list[str], keys: list[str], algorithm: str = scorers.DEFAULT_ALGORITHM) -> DataFrame:
+    """rows with score and spent_ms: one batch of names for each group of keys that a task meets, as in a flat scoring.
+
+    Nothing is shuffled, so a large group is scored by all tasks that hold some of it. spent_ms is the time of a batch, on its
+    first row; group_times() adds it up. The scores don't depend on the groups. A null name counts as empty; without a
+    query there is no score.
+    """
+    asked = [(q, c) for q, c in zip(queries, columns) if q]
+    many = scorers.batch(algorithm)
+    schema = rows.schema.simpleString()[len("struct<") : -1].replace(":", " ")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score, spent = np.full(batch.num_rows, np.nan), np.zeros(batch.num_rows)
+            names = [np.array(batch.column(batch.schema.get_field_index(c)).fill_null("").to_pylist(), object) for _, c in asked]
+            groups = pd.DataFrame({k: batch.column(batch.schema.get_field_index(k)).to_pandas() for k in keys}).groupby(keys, dropna=False, sort=False).indices if batch.num_rows else {}
+            for at in groups.values():
+                began = time.perf_counter()
+                if asked:
+                    score[at] = sum(many(q, own[at].tolist()) for (q, _), own in zip(asked, names)) / len(asked)
+                spent[at[0]] = 1000 * (time.perf_counter() - began)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, mask=np.isnan(score)), pa.array(spent)], [*batch.schema.names, "score", "spent_ms"])
+
+    return rows.mapInArrow(run, f"{schema}, score double, spent_ms double")
+
+
+def group_times(scored: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rows_n, spent_ms) of score_by_group()."""
+    return scored.groupBy(*keys).agg(F.count("*").alias("rows_n"), F.sum("spent_ms").alias("spent_ms"))
+
+
 def search(rows: DataFrame, name: str | None = None, relative: str | None = None, *, algorithm: str = scorers.DEFAULT_ALGORITHM, min_score: float = MIN_SCORE, limit: int = LIMIT, script_bridge: bool = True, **filters) -> DataFrame:
     """Best matches of a name and/or a relative's name among the rows that pass the filters.
 
-    script_bridge: a query in Latin letters is held against the Latin form of a name that has one.
+    script_bridge: a query in Latin letters is held against the Latin form of a name, the stored one or, where none is
+    stored, one that is made of a name in Devanagari while reading.
     """
     scorers.scalar(algorithm)
     fields = []
     for query, column in ((name, "full_name"), (relative, "full_relative_name")):
-        latin = script_bridge and query and not any("ऀ" <= c <= "ॿ" for c in query) and f"{column}_latin" in rows.columns
-        fields.append(F.coalesce(F.col(f"{column}_latin"), F.col(column)) if latin else F.col(column))
+        latin = script_bridge and query and not any("ऀ" <= c <= "ॿ" for c in query)
+        fields.append(latin_form(rows, column) if latin else F.col(column))
     return top_scored(filtered(rows, **filters), [name, relative], fields, "id", algorithm, min_score, limit)
 
 

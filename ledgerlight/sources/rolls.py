@@ -5,15 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import normalize as nz
 from ledgerlight.operators.audit import FIELDS, WIDTH
+from ledgerlight.operators import layout
 from ledgerlight.operators.layout import word_remark, word_text
 from ledgerlight.schema import ROLL_SCHEMA
+from ledgerlight.storage import stored
 
-from . import files
+from . import files, pages
 from .links import with_source_url
 
 
@@ -109,6 +111,18 @@ def _part_record(rows: DataFrame, state: str, roll_year: int, part: Column, fiel
     )
 
 
+def part_items(spark: SparkSession, path: str, pattern: str, reader: pages.PageReader) -> DataFrame:
+    """Page items of the part documents in a folder's archives; part_id is the archive's name and the member's."""
+    members = files.archive_members(files.raw_files(spark, path, "*.zip"), pattern)
+    return pages.page_items(members, reader).withColumn("part_id", F.concat_ws("/", "file", "member"))
+
+
+def by_file(rows: DataFrame, order: list[str]) -> DataFrame:
+    """rows(part_id, …) with file, the part's own id, and line: the row's number in its file, parts in order of their names."""
+    rows = rows.withColumns({"file": F.substring_index("part_id", "/", 1), "line": F.row_number().over(Window.partitionBy(F.substring_index("part_id", "/", 1)).orderBy("part_id", *order)).cast("long")})
+    return rows.withColumn("part_id", F.regexp_extract("part_id", "([^/]*)$", 1))
+
+
 @dataclass(frozen=True)
 class RuledPartSource:
     """Ruled tables of part documents: (file, part_id, line, cells, locality), cells as ruled_rows() gives them.
@@ -120,8 +134,20 @@ class RuledPartSource:
     #: What the columns 1 to 8 hold.
     columns: tuple[str, ...] = ("serial_no", "house", "full_name", "relation", "full_relative_name", "gender", "age", "epic")
 
-    def read(self, spark: SparkSession, path: str, constituency: DataFrame, roll_year: int) -> DataFrame:
-        return self.normalized(spark.read.parquet(path), constituency, roll_year)
+    def read(self, spark: SparkSession, path: str, constituency: DataFrame, roll_year: int, reader: pages.PageReader = pages.read_pages) -> DataFrame:
+        items = stored(part_items(spark, path, r"part\w+\.(pdf|json)", reader), "pages")
+        words = items.where("kind = 'word'").withColumnRenamed("idx", "word_idx")
+        return self.from_pages(words, items.where("kind = 'edge'").withColumn("orientation", F.substring("orientation", 1, 1)), constituency, roll_year)
+
+    def from_pages(self, words: DataFrame, edges: DataFrame, constituency: DataFrame, roll_year: int) -> DataFrame:
+        """Records of words and ruling lines whose part_id is ``archive/member``. A part's locality, from its first page
+        without a table that names one, goes to all its rows."""
+        tables = layout.ruled_bounds(words, edges)
+        covers = words.join(tables.select(*layout.PAGE), layout.PAGE, "left_anti")
+        rows = layout.ruled_rows(words, edges).join(layout.first_locality(layout.cover_locality(covers)), "part_id", "left")
+        rows = by_file(rows, ["page_no", "row_no"])
+        member = files.member_part(F.col("part_id"))
+        return self.normalized(rows.withColumn("part_id", F.when(member != "", member).otherwise(F.col("part_id"))), constituency, roll_year)
 
     def normalized(self, rows: DataFrame, constituency: DataFrame, roll_year: int) -> DataFrame:
         rows = with_area(rows.withColumn("ac_code", files.area_of(F.col("file"))), constituency)
@@ -155,8 +181,14 @@ class GlyphPartSource:
     genders = {"7C-C6-D2": "M", "B2-5F-C4": "F"}
     unread = "name in Bengali script: source font carries no ToUnicode map, so the name columns are not decodable yet"
 
-    def read(self, spark: SparkSession, path: str, constituency: DataFrame, roll_year: int) -> DataFrame:
-        return self.normalized(spark.read.parquet(path), constituency, roll_year)
+    def read(self, spark: SparkSession, path: str, constituency: DataFrame, roll_year: int, reader: pages.PageReader = pages.read_pages) -> DataFrame:
+        items = part_items(spark, path, ".*", reader)
+        return self.from_pages(items.where("kind = 'char'").withColumnRenamed("idx", "char_idx"), constituency, roll_year)
+
+    def from_pages(self, chars: DataFrame, constituency: DataFrame, roll_year: int) -> DataFrame:
+        """Records of characters whose part_id is ``archive/member``."""
+        rows = layout.unruled_rows(chars.select("part_id", "page_no", "char_idx", "text", "x0", "x1", "top")).withColumnRenamed("line", "row_no")
+        return self.normalized(by_file(rows, ["row_no"]), constituency, roll_year)
 
     def normalized(self, rows: DataFrame, constituency: DataFrame, roll_year: int) -> DataFrame:
         rows = with_area(rows.withColumn("ac_code", files.area_of(F.col("file"))), constituency)

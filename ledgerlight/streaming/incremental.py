@@ -21,7 +21,6 @@ def ingest_new_files(spark: SparkSession, path: str, out: str, checkpoint: str,
 
     def write(batch: DataFrame, number: int) -> None:
         rows = source.normalized(files.delimited_rows(batch), constituency, roll_year).withColumn("batch", F.lit(number))
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        rows.write.mode("overwrite").partitionBy("batch").parquet(out)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
 
     named.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

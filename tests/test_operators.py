@@ -223,3 +223,56 @@ def test_nearest_matches_brute_force(spark):
         score = {i: round(float(vectors[i] @ vectors[q] / norm[i] / norm[q]), 9) for i in range(300) if i != q and norm[i]}
         best = sorted(score, key=lambda i: (-score[i], i))[:5]
         assert {i for i, _ in got[q]} == set(best)
+
+
+def test_grouped_scores_are_the_flat_ones(spark):
+    rows = synthetic.rolls(spark, 3, per_area=500).withColumn("full_name", F.when(F.col("id") % 9 > 0, F.col("full_name")))
+    for algorithm in ("wratio", "jaro_winkler"):
+        scored = search.score_by_group(rows, ["Ravi Rao", "Asha"], ["full_name", "full_relative_name"], ["state", "ac_code"], algorithm)
+        flat = rows.select("id", search.scorers.mean_score(["Ravi Rao", "Asha"], [F.col("full_name"), F.col("full_relative_name")], algorithm).alias("s")).collect()
+        got = {r.id: r.score for r in scored.collect()}
+        assert len(got) == 1500 and all(abs(got[r.id] - r.s) < 1e-9 for r in flat)
+        times = search.group_times(scored, ["state", "ac_code"]).collect()
+        assert len(times) == 3 and all(t.rows_n == 500 and t.spent_ms > 0 for t in times)
+    assert {r.score for r in search.score_by_group(rows, [None], ["full_name"], ["ac_code"]).collect()} == {None}
+    assert search.score_by_group(rows.limit(0), ["x"], ["full_name"], ["ac_code"]).collect() == []
+
+
+def test_latin_forms_are_made_while_reading(spark):
+    rows = spark.createDataFrame([(1, "सुभाष", None), (2, "Subhash", None), (3, "कमला", "subhASha")], "id long, full_name string, full_name_latin string").withColumn("full_relative_name", F.lit(""))
+    rows = rows.withColumns({"ac_code": F.lit("A"), "age": F.lit(1), "gender": F.lit("M"), "part_no": F.lit(1)})
+    assert sorted(ids(search.search(rows, "subhasha"))) == [1, 2, 3]
+    assert ids(search.search(rows, "subhasha", script_bridge=False)) == [2]
+
+
+def test_locality_steps():
+    assert layout.after_label(["x", "Village / Area/ROAD", ":", "", "Town", ":"]) == ["Town", ":"]
+    assert layout.after_label(["village/area/road:"]) == [] and layout.after_label(["Town"]) is None
+    assert layout.without_marker(["1)", "Town"]) == ["Town"] and layout.without_marker(["1", "Town"]) == ["1", "Town"] and layout.without_marker([]) == []
+    assert layout.is_readable(["a", "b"]) and not layout.is_readable([]) and not layout.is_readable(["a", ""]) and not layout.is_readable(["a\ue050"])
+
+
+def test_double_strikes_match_all_pairs(spark):
+    import random
+
+    r = random.Random(5)
+    rows = [(k, i, r.choice("ab"), r.randrange(60) / 8, r.randrange(4) / 4) for k in range(3) for i in range(60)]
+    got = {(x.k, x.i) for x in layout.without_double_strikes(spark.createDataFrame(rows, "k int, i long, text string, x0 double, top double"), ["k"], "i").collect()}
+    want = set()
+    for k in range(3):
+        kept = []
+        for x in sorted((x for x in rows if x[0] == k), key=lambda x: (x[3], x[1])):
+            if not any(y[2] == x[2] and abs(y[3] - x[3]) < 0.5 and abs(y[4] - x[4]) < 0.5 for y in kept):
+                kept.append(x)
+        want |= {(x[0], x[1]) for x in kept}
+    assert got == want
+
+
+def test_every_name_has_the_scalar_score(spark):
+    from ledgerlight.plans import catalogue
+
+    names = ["Red Plate", "plate red", "red", "re", "", "blue ring", "red plate of another kind of things", "Plate"]
+    rows = spark.createDataFrame(list(enumerate(names)), "p_partkey long, p_name string")
+    for r in rows.withColumn("score", F.round(search.scorers.score(F.col("p_name"), "Red Plate"), 6)).collect():
+        assert r.score == pytest.approx(round(search.scorers.wratio("Red Plate", r.p_name), 6))
+    assert "search_wratio_all" in catalogue.QUERIES

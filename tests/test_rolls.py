@@ -151,3 +151,52 @@ def test_romanised_names(spark):
     rows = [("haryana", "सुभाष", None, "Ravi", None), ("haryana", "", None, "सुभाष", "kept"), ("karnataka", "सुभाष", None, None, None)]
     got = fill_latin(spark.createDataFrame(rows, "state string, full_name string, full_name_latin string, full_relative_name string, full_relative_name_latin string"), ["haryana"])
     assert {(r.state, r.full_name, r.full_name_latin, r.full_relative_name_latin) for r in got.collect()} == {("haryana", "सुभाष", "subhASha", "Ravi"), ("haryana", "", None, "kept"), ("karnataka", "सुभाष", None, None)}
+
+
+def test_archives_of_pages_become_records(spark, tmp_path):
+    """Archive, members, page items, rows and records; JSON page layouts stand for PDF parts."""
+    import json
+    import zipfile
+
+    word = lambda text, x0, top: {"text": text, "x0": x0, "x1": x0 + 40.0, "top": top, "bottom": top + 8.0, "fontname": "Plain"}
+    edges = [{"x0": 60.0 * i - 10, "orientation": "v"} for i in range(1, 10)]
+    marks = [word(f"[{i}]", 60.0 * i, 50.0) for i in range(1, 9)]
+    page = lambda n, rows: {"page_no": n, "edges": edges, "words": marks + [word(t, 60.0 * (i + 1), 100.0 + 12 * r) for r, cells in enumerate(rows) for i, t in enumerate(cells) if t]}
+    cover = {"page_no": 1, "words": [word("तहसील", 310.0, 200.0), word("Town", 360.0, 200.0)]}
+    with zipfile.ZipFile(tmp_path / "HR01.zip", "w") as z:
+        z.writestr("manifest.json", "[]")
+        z.writestr("part0002.json", json.dumps({"pages": [cover, page(2, [["1", "H1", "Asha", "पि", "Bala", "म", "30", "E1"]]), page(3, [["2", "H2", "", "प", "Hari", "पु", "", ""], ["Total"]])]}))
+        z.writestr("part098A.json", json.dumps({"pages": [page(1, [["1", "H3", "Ravi", "मा", "Uma", "पु", "41", ""]])]}))
+    area = spark.createDataFrame([("HR01", "Area", "Place")], "ac_code string, ac_name string, district string")
+    got = [tuple(r) for r in rolls.REGISTRY["haryana"].source.read(spark, str(tmp_path), area, 2002).orderBy("line").select("ac_code", "ac_name", "part_no", "serial_no", "full_name", "relation_code", "gender", "age", "locality", "remark").collect()]
+    assert got == [
+        ("HR01", "Area", 2, 1, "Asha", "F", "F", 30, "Town", ""),
+        ("HR01", "Area", 2, 2, "", "H", "M", None, "Town", "no voter name in row"),
+        ("HR01", "Area", 98, 1, "Ravi", "M", "M", 41, "", "source part id is '98A', recorded as part 98"),
+    ]
+    letters = lambda text, x, top: [{"text": c, "x0": x + 4.0 * k, "x1": x + 4.0 * k + 4, "top": top} for k, c in enumerate(text)]
+    chars = [c for i in range(8) for c in letters(str(i + 1), 100.0 * (i + 1) + 40, 80.0)] + letters("Village / Area / Road", 100.0, 30.0) + letters("Lane 5", 300.0, 30.0)
+    chars += [c for r in range(2) for i, t in enumerate([str(r + 1), "h", f"Name {r}", "F", "Rel", "M", "44", f"E{r}"]) for c in letters(t, 100.0 * (i + 1), 100.0 + 12 * r)]
+    folder = tmp_path / "wb"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "AC007.zip", "w") as z:
+        z.writestr("x/part 012.json", json.dumps({"pages": [{"page_no": 1, "chars": chars}]}))
+    got = [tuple(r) for r in rolls.REGISTRY["west_bengal"].source.read(spark, str(folder), area, 2002).orderBy("line").select("ac_code", "part_no", "serial_no", "full_name", "local_ref", "age", "locality", "remark").collect()]
+    assert got == [("AC007", 12, r + 1, f"Name {r}", f"E{r}", 44, "Lane 5", "") for r in range(2)]
+    with zipfile.ZipFile(folder / "AC008.zip", "w") as z:
+        z.writestr("part1.pdf", b"%PDF-1.4")
+    with pytest.raises(Exception, match="pdfplumber|PDF"):
+        rolls.REGISTRY["west_bengal"].source.read(spark, str(folder), area, 2002).collect()
+
+
+def test_areas_whose_files_are_damaged_are_built_again(spark, folder, area, tmp_path):
+    out = str(tmp_path / "out")
+    listed = spark.createDataFrame([("karnataka", "A001"), ("karnataka", "A999")], "state string, ac_code string")
+    rows = rolls.DelimitedSource("karnataka").read(spark, str(folder / "raw"), area, 2002)
+    first = build.publish(rows, listed, out)
+    assert build.publish(rows, listed, out).count() == 0 and first.count() == 2
+    import pathlib
+
+    files_of = sorted(pathlib.Path(out).glob("rolls-*/state=karnataka/ac_code=A001/*.parquet"))
+    files_of[0].write_bytes(b"not parquet")
+    assert [r.ac_code for r in build.publish(rows, listed, out).collect()] == ["A001"]
