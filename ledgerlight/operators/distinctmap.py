@@ -44,7 +44,7 @@ def _romanized(values: pd.Series) -> pd.Series:
 
 def latin_form(rows: DataFrame, column: str) -> Column:
     """The stored Latin form of a name, else one made while reading if the name is in Devanagari, else the name."""
-    stored = F.col(f"{column}_latin") if f"{column}_latin" in rows.columns else F.lit(None).cast("string")
+    stored = F.col(f"{column}_latin")
     made = _romanized(F.when(stored.isNull() & devanagari.has_devanagari(F.col(column)), F.col(column)))
     return F.coalesce(stored, made, F.col(column))
 
