@@ -3,6 +3,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from ledgerlight.llm import neardup, veclinks
@@ -170,6 +172,24 @@ def test_vector_links(spark, window):
     assert {r.vec_id: r.component_id for r in got} == want and all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_planted_pairs_in_a_large_label(spark, tmp_path):
+    """100,000 vectors of one label, 2,000 pairs planted between cosine 0.98 and 1: all are found, and nothing else."""
+    r = np.random.default_rng(11)
+    n, planted, wide = 100_000, 2_000, 32
+    x = r.standard_normal((n, wide))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    one, two = r.permutation(n)[: 2 * planted].reshape(2, -1)
+    aside = r.standard_normal((planted, wide))
+    aside -= (aside * x[one]).sum(axis=1, keepdims=True) * x[one]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = np.where(np.arange(planted) < planted // 2, 0.9802, r.uniform(0.9802, 1, planted))[:, None]
+    x[two] = cosine * x[one] + np.sqrt(1 - cosine**2) * aside
+    held = pa.table({"vec_id": np.arange(n), "label": np.zeros(n, np.int32), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), wide).cast(pa.list_(pa.float64()))})
+    pq.write_table(held, tmp_path / "v.parquet", row_group_size=10_000)
+    got = veclinks.vector_links(spark.read.parquet(str(tmp_path / "v.parquet"))).where("n_links > 0 OR NOT kept").collect()
+    assert {(v.vec_id, v.n_links, v.component_id) for v in got} == {(int(v), 1, int(min(p))) for p in zip(one, two) for v in p}
+
+
 def test_odd_vectors(spark):
     df = spark.createDataFrame([(None, 1, [1.0, 0.0]), (4, 1, [1.0, 0.0]), (4, 1, [1.0, 0.0])], "vec_id long, label int, embedding array<double>")
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in veclinks.vector_links(df).collect()) == [("4", 1, "4", True), ("4", 1, "4", True), ("None", 0, "None", False)]
