@@ -27,7 +27,10 @@ SHORT = 3
 
 def processed(text: str | None) -> str:
     """Characters that are no letter, digit or underscore become spaces; lower case; trimmed; inner spaces stay."""
-    return _NOT_WORD.sub(" ", text or "").lower().strip()
+    text = text or ""
+    # most names hold letters, digits and blanks alone, where the pattern would change nothing
+    plain = text.replace(" ", "").isalnum()
+    return (text if plain else _NOT_WORD.sub(" ", text)).lower().strip()
 
 
 def processed_column(text: Column) -> Column:
