@@ -10,18 +10,20 @@
    contraction. In buckets that hold several families, the members outside the largest one are held against all members,
    in blocks by sketch, which joins families, so that no link is lost by the choice in 3.
 5. A bucket in which more than BLOCK members lie outside its largest family is crowded: pages of one template share the
-   template's bands and are far apart. Its members meet by two keys at a time, the bucket's and that of another crowded
-   bucket of theirs, and where that is crowded as well by three, and so on; similar texts share many keys, texts of one
-   template few. So members are compared with a bounded number of others, whatever the size of the bucket.
+   template's bands and are far apart. It is put off until 6 is done, as are buckets that are crowded in 6.
 6. A family's members bring their full shingle sets together once. In families of more than BLOCK members the pairs of 3
    are confirmed first; then each member outside the main component, in smaller families every member, is held against
    the family in blocks: near ones by sketch, nearest first, are confirmed until they are connected. A block emits at most
-   a link per member. Families in which more than BLOCK members are left are worked bucket by bucket, as in 5.
-7. Links become components by distributed contraction.
+   a link per member. Families in which more than BLOCK members are left are worked bucket by bucket.
+7. Crowded buckets whose members are not all connected by then are finished without loss. Their sets are ordered, rare
+   shingles first. Two similar sets share a shingle of their prefixes, the first n - ceil(n * threshold) + 1 of each. The
+   rare shingles of the prefixes are keys by which members meet. What meets by none of them is similar by common shingles
+   alone, so the smaller of the two consists of them to 2 * threshold / (1 + threshold) at least; such members are held
+   against all of their buckets in blocks, or the members outside the largest component, if these are fewer.
+8. Links become components by distributed contraction.
 
 Band layout: BANDS * ROWS samples; a pair of similarity 0.8 shares no key with probability below 1e-6, one of 0.85 below
-1e-9; if all buckets of such a pair are crowded, it doesn't share two of them with probability 1.2e-5 and 2e-8. A pair at
-the threshold has sketches that differ too much with probability 1e-7.
+1e-9; crowded buckets add nothing to that. A pair at the threshold has sketches that differ too much with probability 1e-7.
 """
 
 from __future__ import annotations
@@ -42,8 +44,10 @@ from .components import connected_components, with_components
 
 BANDS, ROWS = 36, 5
 SKETCH_BITS = 1024
-#: Most keys that members of crowded buckets meet by; what is crowded even then is compared in blocks, all against all.
-MOST_KEYS = 6
+#: A shingle is common if more members of crowded buckets have it, beside twice the mean of the SLOTS counters that shingles
+#: are counted in. Any order and any choice of common shingles gives the same links; this one keeps the keys' groups small.
+COMMON = 64
+SLOTS = 1 << 20
 _rng = np.random.default_rng(20240229)
 _FLIP = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _MULT = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -224,24 +228,63 @@ def _outside(groups: DataFrame) -> DataFrame:
     return materialize(stats.select("key", "size", F.col("main.component").alias("main"), (F.col("size") - F.col("main.n")).alias("odds")), "several")
 
 
-def _meetings(groups: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """members(key, id, component, odd) and sizes(key, size, odds) such that any two members of groups(key, id, component)
-    that share a key and differ in component meet: by a key that is not crowded, or by several crowded ones."""
-    own = None
-    for level in range(1, MOST_KEYS + 1):
-        several = _outside(groups)
-        crowded = F.col("odds") > (BLOCK if level < MOST_KEYS else 1 << 62)
-        easy = small(several).where(~crowded)
-        yield groups.select("key", "id", "component").join(easy.select("key", "main"), "key").withColumn("odd", F.col("component") != F.col("main")).drop("main"), easy.select("key", "size", "odds")
-        hard = several.where(crowded)
-        if hard.isEmpty():
-            return
-        rows = materialize(groups.join(small(several).where(crowded).select("key"), "key", "left_semi"), "crowded")
-        if own is None:
-            own = materialize(rows.groupBy("id").agg(F.collect_set("key").alias("keys")), "crowded-keys")  # at most one key a band
-            rows = rows.withColumn("last", F.col("key"))
-        longer = rows.join(own, "id").select("id", "component", "key", F.explode(F.filter("keys", lambda k: k > F.col("last"))).alias("last"))
-        groups = materialize(longer.select(F.xxhash64("key", "last").alias("key"), "id", "component", "last"), "by-more-keys")
+def _by_bucket(groups: DataFrame, crowded: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """members(key, id, component, odd) and sizes(key, size, odds) of the groups(key, id, component) that hold several
+    components; rows of those with more than BLOCK members outside the largest one are appended to crowded instead."""
+    several = _outside(groups)
+    hard = F.col("odds") > BLOCK
+    if not several.where(hard).isEmpty():
+        crowded.append(materialize(groups.select("key", "id").join(small(several).where(hard).select("key"), "key", "left_semi"), "crowded"))
+    easy = small(several).where(~hard)
+    return groups.select("key", "id", "component").join(easy.select("key", "main"), "key").withColumn("odd", F.col("component") != F.col("main")).drop("main"), easy.select("key", "size", "odds")
+
+
+def _slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall in each of SLOTS counters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            total += np.bincount(_slots(batch.column(0).flatten().to_numpy()), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
+
+    found = arrow_map(sets.select("members"), run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SLOTS, np.int64)
+    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _slots(members: np.ndarray) -> np.ndarray:
+    return (members & np.int64(SLOTS - 1)).astype(np.int64)
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """id, full, keys of sets(id, members). keys: the rare shingles of a set's prefix; full: whether a set that is at least
+    as large can be similar by common shingles alone.
+
+    Driver and each worker: SLOTS counters. Sets x, y with 100 * |x & y| >= percent * |x | y| have at least
+    ceil(percent * n / 100) shingles in common, for the n of either, so the first one in the order lies in both prefixes.
+    If y is the smaller and has c common shingles, at least ceil(2 * percent * |y| / (100 + percent)) - c of them are rare.
+    """
+    counts = _slot_counts(sets)
+    most = COMMON + 2 * int(counts.mean())
+    shared = sets.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 32) - 1).astype(np.uint32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            full, keys = [], []
+            for row in batch.column(1):
+                own = row.values.to_numpy()
+                n, seen = len(own), counts[_slots(own)]
+                rare = int((seen <= most).sum())
+                prefix = n + percent * n // -100 + 1
+                keys.append(own[np.lexsort((own, seen))[: min(prefix, rare)]])
+                full.append((n - rare) * (100 + percent) >= 2 * percent * n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(full, pa.bool_()), pa.array(keys, pa.list_(pa.int64()))], ["id", "full", "keys"])
+
+    return arrow_map(sets.select("id", "members"), run, "id long, full boolean, keys array<long>")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -284,18 +327,17 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     pairs = members.select("key", "id").join(small(stand), "key").select("id", F.explode(F.array("r1", "r2")).alias("r")).where("id <> r")
     pairs = pairs.select(F.least("id", "r").alias("a"), F.greatest("id", "r").alias("b")).distinct()
     known = materialize(classes.select("id", "n", "sketch").join(small(degree).select("id"), "id", "left_semi"), "known")
-    one, two = (small(known).select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    sized = pairs.join(one, "a").join(two, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    near = materialize(arrow_map(sized, _flipped(limit), "a long, b long, flipped int"), "near").select("a", "b")
+    near = materialize(_near(pairs, known, percent, limit), "near").select("a", "b")
 
     # families: components of pairs that are near by sketch; buckets that hold several are compared in blocks
     families = connected_components(near)
     placed = materialize(with_components(members.select("key", "id"), families, "id", "component"), "placed")
     sketched = small(known)
-    more = [arrow_map(_grouped(group.join(sketched, "id"), sizes), _linked(limit, percent, False), "a long, b long") for group, sizes in _meetings(placed)]
-    families = connected_components(reduce(DataFrame.union, more, near))
+    crowds: list[DataFrame] = []
+    group, sizes = _by_bucket(placed, crowds)
+    families = connected_components(near.union(arrow_map(_grouped(group.join(sketched, "id"), sizes), _linked(limit, percent, False), "a long, b long")))
 
-    # every link lies in a family: confirm on full sets
+    # every link lies in a family or in a crowded bucket: confirm on full sets
     docs = rows.withColumnRenamed("doc_id", "id")
     sets = materialize(_sets(docs.join(small(families), F.col("id") == F.col("node"), "left_semi"), width), "sets")
     sizes = materialize(families.groupBy("component").agg(F.count("*").alias("size")).withColumnRenamed("component", "key"), "sizes")
@@ -310,13 +352,49 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     main = materialize(main.where("odds > 0"), "main")
     crowded = F.col("odds") > BLOCK
     easy = inner.join(small(main).where(~crowded).select("key", "main"), "key").withColumn("odd", ~F.col("component").eqNullSafe(F.col("main"))).drop("main")
-    confirmed = lambda group, sizes: arrow_map(_grouped(group.join(sketched, "id").join(sets, "id"), sizes), _linked(limit, percent, True), "a long, b long")
-    links = [confirmed(easy, small(main).where(~crowded).select("key", "size", "odds"))]
+    confirmed = lambda group, sizes, sets: arrow_map(_grouped(group.join(sketched, "id").join(sets, "id"), sizes), _linked(limit, percent, True), "a long, b long")
+    links = [confirmed(easy, small(main).where(~crowded).select("key", "size", "odds"), sets)]
     if not main.where(crowded).isEmpty():
         apart = inner.join(small(main).where(crowded).select("key"), "key", "left_semi").withColumnRenamed("key", "family")
         shared = members.select("key", "id").join(apart, "id").select(F.xxhash64("key", "family").alias("key"), "id", "component")
-        links += [confirmed(group, sizes) for group, sizes in _meetings(materialize(shared, "apart"))]
-    return reduce(DataFrame.union, links, first)
+        links.append(confirmed(*_by_bucket(materialize(shared, "apart"), crowds), sets))
+    links = reduce(DataFrame.union, links, first)
+    if not crowds:
+        return links
+
+    # what the links so far leave apart in crowded buckets
+    found = connected_components(links)
+    done = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    groups = materialize(with_components(reduce(DataFrame.union, crowds), found, "id", "component"), "crowds")
+    several = _outside(groups)
+    ids = materialize(groups.join(small(several).select("key"), "key", "left_semi").select("id").distinct(), "crowd-ids")
+    sets = materialize(_sets(docs.join(small(ids), "id", "left_semi"), width), "crowd-sets")
+    marked = materialize(_prefixes(sets, percent), "prefixes")
+    full = materialize(marked.where("full").select("id", "full"), "full")
+    groups = materialize(groups.join(small(several).select("key", "main"), "key").join(small(full), "id", "left"), "crowds-apart")
+    chosen = several.join(groups.groupBy("key").agg(F.count("full").alias("n_full")), "key")
+    chosen = materialize(chosen.select("key", "size", F.least("odds", "n_full").alias("odds"), (F.col("odds") <= F.col("n_full")).alias("outer")), "crowd-sizes")
+    odd = F.when(F.col("outer"), F.col("component") != F.col("main")).otherwise(F.col("full").isNotNull())
+    some = groups.join(small(chosen).where("odds > 0").select("key", "outer"), "key").select("key", "id", "component", odd.alias("odd"))
+    links = [done, confirmed(some, small(chosen).where("odds > 0").select("key", "size", "odds"), sets)]
+    rest = materialize(groups.join(small(chosen).where("NOT outer").select("key"), "key", "left_semi").select("id", "component").distinct(), "crowd-rest")
+    keyed = materialize(marked.join(small(rest), "id").select(F.explode("keys").alias("key"), "id", "component"), "by-shingle")
+    several = _outside(keyed)
+    few = F.col("size") <= COMMON
+    one, two = (keyed.join(small(several).where(few).select("key"), "key", "left_semi").select("key", F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    pairs = one.join(two, "key").where("a < b AND ca <> cb").select("a", "b").distinct()
+    links.append(_confirm(materialize(_near(pairs, known, percent, limit), "near-rest"), sets, percent))
+    many = small(several).where(~few)
+    some = keyed.join(many.select("key", "main"), "key").withColumn("odd", F.col("component") != F.col("main")).drop("main")
+    links.append(confirmed(some, many.select("key", "size", "odds"), sets))
+    return reduce(DataFrame.union, links)
+
+
+def _near(pairs: DataFrame, known: DataFrame, percent: int, limit: int) -> DataFrame:
+    """pairs(a, b) that are near by size and sketch."""
+    one, two = (small(known).select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    sized = pairs.join(one, "a").join(two, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return arrow_map(sized, _flipped(limit), "a long, b long, flipped int")
 
 
 def _flipped(limit: int):

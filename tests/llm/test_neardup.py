@@ -114,6 +114,76 @@ def test_pages_of_a_template_meet_by_several_keys(spark, monkeypatch):
     assert len(levels) >= 3
 
 
+def pairs_with_few_keys(tries=20_000, most=5):
+    """Pairs of similarity 0.8 on a template of 70 words whose shared band keys are few and all the template's; and a
+    function that makes further pages, near nothing."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    template = [word() for _ in range(70)]
+    keys = lambda texts: neardup.band_keys(neardup.minhashes([neardup.shingles(t, 5) for t in texts]))
+    shared = keys([" ".join(template)])[0]
+    found = []
+    for _ in range(0, tries, 2000):
+        rests = [[word() for _ in range(15)] for _ in range(2000)]
+        pairs = [(" ".join(template + x), " ".join(template + x[:-9] + [word() for _ in range(9)])) for x in rests]
+        one, two = (keys([p[i] for p in pairs]) for i in (0, 1))
+        n = (one == two).sum(axis=1)
+        found += [pairs[i] for i in np.flatnonzero((n > 0) & (n <= most) & ~((one == two) & (one != shared)).any(axis=1))]
+    return found, lambda: " ".join(template + [word() for _ in range(15)])
+
+
+def test_pairs_whose_shared_buckets_are_all_crowded(spark, monkeypatch):
+    from ledgerlight.llm import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK", 2)
+    monkeypatch.setattr(neardup, "BLOCK", 2)
+    pairs, page = pairs_with_few_keys()
+    assert len(pairs) >= 3
+    rows = [(k * 1000 + i, p[k]) for i, p in enumerate(pairs) for k in (0, 1)] + [(2000 + i, page()) for i in range(500)]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - 1000 if 1000 <= i < 2000 else i for i, _ in rows}
+
+
+@pytest.mark.parametrize("common", [-1, 3])
+def test_crowded_buckets_lose_nothing(spark, common, monkeypatch):
+    """Variants of a few texts, all buckets crowded; common -1: many or all shingles are common."""
+    from ledgerlight.llm import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK", 1)
+    monkeypatch.setattr(neardup, "BLOCK", 1)
+    monkeypatch.setattr(neardup, "COMMON", common)
+    ways = []
+    real = neardup._prefixes
+    monkeypatch.setattr(neardup, "_prefixes", lambda sets, percent: ways.append(real(sets, percent).collect()) or real(sets, percent))
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
+    rows = []
+    for base in range(2):
+        text = [word() for _ in range(70)]
+        for i in range(60):
+            some = list(text)
+            for _ in range(r.randint(1, 5)):
+                some[r.randrange(70)] = word()
+            rows.append((base * 100 + i, " ".join(some)))
+    _, want = brute(rows, 5, 80)
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
+    assert ways and any(x.full for x in ways[0]) and (common < 0 or any(x["keys"] for x in ways[0]))
+
+
+def test_similar_sets_meet_by_prefix_or_in_full(spark, monkeypatch):
+    """Any two similar sets share a key, or the smaller one is marked, whatever shingles are common."""
+    monkeypatch.setattr(neardup, "COMMON", 6)
+    rows = [x for x in corpus() if x[1] and x[1].strip()]
+    sets = neardup._sets(spark.createDataFrame(rows, "id long, text string"), 3)
+    got = {r.id: (r.full, set(r["keys"])) for r in neardup._prefixes(sets, 80).collect()}
+    held = {r.id: set(r.members) for r in sets.collect()}
+    similar = [(a, b) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 80 * len(held[a] | held[b])]
+    assert similar and {got[a][0] for a, _ in similar} == {True, False}
+    for a, b in similar:
+        least = min(len(held[a]), len(held[b]))
+        assert got[a][1] & got[b][1] or any(got[x][0] for x in (a, b) if len(held[x]) == least)
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f"), (3, "other words are in this one")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect()), key=str)
