@@ -327,7 +327,7 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     pairs = members.select("key", "id").join(small(stand), "key").select("id", F.explode(F.array("r1", "r2")).alias("r")).where("id <> r")
     pairs = pairs.select(F.least("id", "r").alias("a"), F.greatest("id", "r").alias("b")).distinct()
     known = materialize(classes.select("id", "n", "sketch").join(small(degree).select("id"), "id", "left_semi"), "known")
-    near = materialize(_near(pairs, known, percent, limit), "near").select("a", "b")
+    near = materialize(_near(pairs, known, percent, limit).select("a", "b"), "near")
 
     # families: components of pairs that are near by sketch; buckets that hold several are compared in blocks
     families = connected_components(near)

@@ -1,13 +1,15 @@
 import collections
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from ledgerlight.llm import neardup, veclinks
+from ledgerlight.llm import common, components, neardup, veclinks
+from ledgerlight.llm.common import materialize, scratch, shared_dir
 from ledgerlight.llm.components import connected_components
 
 
@@ -37,6 +39,30 @@ def test_components_of_chains_stars_and_rings(spark):
     assert connected_components(df.limit(0)).collect() == []
 
 
+def test_components_by_rounds_and_by_one_task(spark, monkeypatch):
+    r = random.Random(4)
+    links = [(r.randrange(400), r.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(100)] + [(3000, 2000 + i) for i in range(90)]
+    wanted = components_of({x for a, b in links if a != b for x in (a, b)}, links)
+    df = spark.createDataFrame([*links, (None, 3), (5, None)], "a long, b long")
+    assert {row.node: row.component for row in connected_components(materialize(df, "links")).collect()} == wanted
+    for most in (components.LOCAL_BYTES, 4000, 0):
+        monkeypatch.setattr(components, "LOCAL_BYTES", most)
+        assert {row.node: row.component for row in connected_components(df).collect()} == wanted
+
+
+def test_few_links_take_few_tables_without_checksum_files(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    tables = []
+    with scratch() as keep:
+        keep(connected_components(df))
+        tables = [p for p in folder.iterdir() if p not in before]
+        assert len(tables) == 1  # the links' own table is deleted by now
+        assert {p.suffix for p in tables[0].iterdir()} == {"", ".parquet"}
+        assert len(common._SCRATCH.open[-1]) <= 2
+
+
 def sets_of(text, width):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall("[^\x20\x09-\x0d]+", low)
