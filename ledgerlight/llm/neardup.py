@@ -340,8 +340,8 @@ def _links(rows: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     # every link lies in a family or in a crowded bucket: confirm on full sets
     docs = rows.withColumnRenamed("doc_id", "id")
     sets = materialize(_sets(docs.join(small(families), F.col("id") == F.col("node"), "left_semi"), width), "sets")
-    sizes = materialize(families.groupBy("component").agg(F.count("*").alias("size")).withColumnRenamed("component", "key"), "sizes")
-    large = materialize(families.join(small(sizes).where(F.col("size") > BLOCK), F.col("component") == F.col("key"), "left_semi"), "large")
+    sizes = materialize(families.groupBy(F.col("component").alias("key")).agg(F.count("*").alias("size")).where(F.col("size") > BLOCK), "sizes")
+    large = materialize(families.join(small(sizes), F.col("component") == F.col("key"), "left_semi"), "large")
     stars = near.join(small(large).select(F.col("node").alias("a")), "a", "left_semi")
     first = materialize(_confirm(stars, sets, percent), "links")
     inner = with_components(families.select(F.col("node").alias("id"), F.col("component").alias("key")), connected_components(first), "id", "component")
