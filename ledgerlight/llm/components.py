@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.storage import stored_bytes
 
-from .common import arrow_map, discard, materialize, small
+from .common import arrow_map, discard, gathered, materialize, small
 
 #: Links whose files are at most this large, some hundred thousand, are contracted by one task.
 LOCAL_BYTES = 1 << 20
@@ -29,7 +29,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     held = stored_bytes(links)
     ends = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
-    edges = links if held is not None and held <= LOCAL_BYTES else materialize(ends.distinct(), "edges")
+    edges = links if held is not None and held <= LOCAL_BYTES else materialize(gathered(ends.distinct()), "edges")
     hooks = []
     while stored_bytes(edges) > LOCAL_BYTES and not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

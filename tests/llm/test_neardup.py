@@ -63,6 +63,19 @@ def test_few_links_take_few_tables_without_checksum_files(spark):
         assert len(common._SCRATCH.open[-1]) <= 2
 
 
+def test_links_are_written_in_a_few_files(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(3000)], "a long, b long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        with scratch():
+            assert len(materialize(common.gathered(df.distinct()), "few").inputFiles()) == 8
+            assert connected_components(df).where("component = 0").count() == 3001
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def sets_of(text, width):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall("[^\x20\x09-\x0d]+", low)
